@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import alpha_text
 from ..operators import combine, windows
 from ..operators.decompose import component_means, components_long, decompose
+from ..operators.segments import backward_fill_long, over_segments
 from ..panel import Panel
 from ..sources import tables
 from .registry import DENSE, MONTHLY, SALES, SPARSE, day, num, query, shown
@@ -18,6 +19,10 @@ ROLL_SIZES = (365, 546)
 MONTH_ROLL_SIZES = (91, 120, 152, 182, 242, 402, 542, 722)
 
 
+# Exact halves round by the last bit of a sum; this moves compared values off them.
+OFF_HALF = 0.00123
+
+
 def dense_sales(spark, folder) -> Panel:
     """Daily order value per priority with a row, maybe without a value, for every day."""
     return windows.calendar_spine(tables.sales_panel(spark, folder))
@@ -94,7 +99,7 @@ def _triangular_sql(sizes: tuple[int, ...]) -> str:
   SELECT a.priority, a.ts, a.sales, a.rn - b.rn AS gap, b.sales AS v
   FROM dense a LEFT JOIN dense b ON b.priority = a.priority AND b.rn < a.rn AND b.rn >= a.rn - {max(sizes)}),
 means AS (SELECT priority, ts, max(sales) AS sales, {', '.join(sums)} FROM pairs GROUP BY priority, ts)
-SELECT priority, {day()}, {num('sales')}, {', '.join(num(f't{n}', f'sales_roll_mean_{n}', 2) for n in sizes)}
+SELECT priority, {day()}, {num('sales')}, {', '.join(num(f't{n} + {OFF_HALF}', f'sales_roll_mean_{n}', 2) for n in sizes)}
 FROM means"""
 
 
@@ -112,7 +117,7 @@ def roll_triang_many(spark, folder):
 
 
 def _with_coarse(panel: Panel, columns: list[str]):
-    rounded = {c: F.round(c, 2) for c in columns}
+    rounded = {c: F.round(F.col(c) + OFF_HALF, 2) for c in columns}
     return shown(panel.frame().withColumns(rounded))
 
 
@@ -224,3 +229,106 @@ def noise(spark, folder):
     panel = tables.sparse_panel(spark, folder)
     noisy = windows.lag_features(panel, [1, 7], noise_sd=1.6, seed=11)
     return noisy.frame()
+
+
+EVENTS = "events_panel AS (SELECT event_type, ts, event_id, value FROM events)"
+OVER_EVENTS = "OVER (PARTITION BY event_type ORDER BY ts, event_id)"
+OVER_PLACED = "OVER (PARTITION BY p.event_type ORDER BY p.rn)"
+SEGMENT_ROWS = 1000
+
+
+def _events(spark, folder) -> Panel:
+    return Panel(tables.hourly_events(spark, folder), ("event_type",), "ts", "value")
+
+
+@query(
+    "segmented_features",
+    f"""WITH {EVENTS}, placed AS (SELECT *, row_number() {OVER_EVENTS} AS rn FROM events_panel),
+weighted AS (
+  SELECT a.event_id, sum((10 - abs(a.rn - b.rn - 10)) * b.value) / sum(10 - abs(a.rn - b.rn - 10)) AS mean, count(*) AS known
+  FROM placed a JOIN placed b
+    ON b.event_type = a.event_type AND b.rn < a.rn AND b.rn >= a.rn - 19
+  GROUP BY a.event_id)
+SELECT p.event_type, p.event_id, {num('p.value', 'value')},
+  {num(f'lag(p.value, 7) {OVER_PLACED}', 'value_lag_7')}, {num(f'lag(p.value, 91) {OVER_PLACED}', 'value_lag_91')},
+  {num(f'CASE WHEN p.rn > 3 THEN avg(p.value) {OVER_PLACED.replace(')', ' ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)')} END', 'roll3_shift1', 6)},
+  {num('CASE WHEN w.known >= 10 THEN w.mean END', 'value_roll_mean_19')}
+FROM placed p LEFT JOIN weighted w ON w.event_id = p.event_id""",
+)
+def segmented_features(spark, folder):
+    """Lags and means over raw events: series of timestamps, cut into chunks that overlap."""
+
+    def build(panel: Panel) -> Panel:
+        panel = windows.lag_features(panel, (7, 91))
+        panel = windows.rolling_means(panel, (3,), shift=1)
+        return windows.triangular_means(panel, (19,))
+
+    done = over_segments(_events(spark, folder), build, reach=91, tie_break=("event_id",), rows=SEGMENT_ROWS)
+    roll = F.round("roll3_shift1", 6).alias("roll3_shift1")
+    others = [F.round(c, 4).alias(c) for c in ("value", "value_lag_7", "value_lag_91", "value_roll_mean_19")]
+    return done.select("event_type", "event_id", roll, *others)
+
+
+@query(
+    "segmented_bfill",
+    f"""SELECT event_type, event_id, {num('value')},
+  {num('''first_value(CASE WHEN value >= 5 THEN value END IGNORE NULLS) OVER (
+    PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)''', 'next_large')}
+FROM events""",
+)
+def segmented_bfill(spark, folder):
+    """The next value of at least 5 after each event, over series of any length."""
+    df = tables.hourly_events(spark, folder)
+    large = df.withColumn("large", F.when(F.col("value") >= 5, F.col("value")))
+    filled = backward_fill_long(Panel(large, ("event_type",), "ts", "large"), "next_large", ("event_id",))
+    return shown(filled.select("event_type", "event_id", "value", "next_large"))
+
+
+PANEL_LAGS = (7, 14, 28, 91, 98, 105, 112, 119, 126, 182)
+PANEL_ROLLS = (28, 91, 182)
+PANEL_EWM_LAGS = (91, 112, 180)
+
+
+def _all_features_sql() -> str:
+    over = "OVER (PARTITION BY supplier, flag ORDER BY rn)"
+    lags = ", ".join(num(f"p.l{k}", f"sales_lag_{k}") for k in PANEL_LAGS)
+    weight = {
+        n: f"(least({n} - gap, gap - 1) + 0.5)" if n % 2 == 0 else f"(least({n} - gap, gap - 1) + 1)"
+        for n in PANEL_ROLLS
+    }
+    sums = ", ".join(
+        f"CASE WHEN count(CASE WHEN gap <= {n} THEN 1 END) >= 10 THEN sum(CASE WHEN gap <= {n} THEN {w} * v END) "
+        f"/ sum(CASE WHEN gap <= {n} THEN {w} END) END AS t{n}"
+        for n, w in weight.items()
+    )
+    ewms = ", ".join(
+        f"sum(pow(1 - {a}, gap - 1) * v) / sum(pow(1 - {a}, gap - 1)) AS e{alpha_text(a)}" for a in ALPHAS
+    )
+    # The pairs hold rows before the current one, so their exponential mean is the one a row back.
+    shifted = ", ".join(
+        num(f"lag(e{alpha_text(a)}, {k - 1}) {over}", f'"sales_ewm_alpha_{alpha_text(a)}_lag_{k}"')
+        for a in ALPHAS
+        for k in PANEL_EWM_LAGS
+    )
+    raw_lags = ", ".join(f"lag(sales, {k}) {OVER_SPARSE} AS l{k}" for k in PANEL_LAGS)
+    return f"""WITH {SPARSE}, p AS (
+  SELECT *, row_number() {OVER_SPARSE} AS rn, {raw_lags} FROM sparse_panel),
+pairs AS (
+  SELECT a.supplier, a.flag, a.rn, a.rn - b.rn AS gap, b.sales AS v
+  FROM p a JOIN p b ON b.supplier = a.supplier AND b.flag = a.flag AND b.rn < a.rn),
+means AS (SELECT supplier, flag, rn, {sums}, {ewms} FROM pairs GROUP BY supplier, flag, rn),
+joined AS (SELECT p.*, m.* EXCLUDE (supplier, flag, rn) FROM p LEFT JOIN means m
+  ON m.supplier = p.supplier AND m.flag = p.flag AND m.rn = p.rn)
+SELECT supplier, flag, {day()}, {num('sales')}, {lags.replace('p.l', 'l')},
+  {', '.join(num(f't{n} + {OFF_HALF}', f'sales_roll_mean_{n}', 3) for n in PANEL_ROLLS)}, {shifted}
+FROM joined"""
+
+
+@query("panel_features", _all_features_sql())
+def all_features(spark, folder):
+    """Lags, triangular and exponential means of many sparse series in one pass over them."""
+    panel = windows.lag_features(tables.sparse_panel(spark, folder), PANEL_LAGS)
+    panel = windows.triangular_means(panel, PANEL_ROLLS)
+    panel = windows.ewm_features(panel, ALPHAS, PANEL_EWM_LAGS)
+    rolls = {f"sales_roll_mean_{n}": F.round(F.col(f"sales_roll_mean_{n}") + OFF_HALF, 3) for n in PANEL_ROLLS}
+    return shown(panel.frame().withColumns(rolls))
