@@ -1,9 +1,9 @@
 """Exact quantiles of groups of any size.
 
 The built-in exact percentile keeps all distinct values of a group in one task.
-Here values are counted first, the counts are put in order-keeping buckets, and
-only the buckets that hold a wanted rank are sorted. A bucket never splits a
-value, so the result is exact and linearly interpolated.
+Here values are counted in order-keeping buckets, and only the buckets that hold
+a wanted rank are sorted. A bucket never splits a value, so the result is exact
+and linearly interpolated.
 """
 
 from __future__ import annotations
@@ -18,49 +18,53 @@ from .skew import salted_join
 BUCKETS = 16384
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows (by..., column, value, n): how often each known value occurs in each group."""
-    grouped = df
+def _known_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows (by..., column, value): every known value of every column."""
     for key in by:
-        grouped = grouped.where(F.col(key).isNotNull())
+        df = df.where(F.col(key).isNotNull())
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     )
-    long = grouped.select(*by, F.explode(pairs).alias("_p")).select(*by, "_p.*")
-    known = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    return known.groupBy(*by, "column", "value").agg(F.count("*").alias("n"))
+    long = df.select(*by, F.explode(pairs).alias("_p")).select(*by, "_p.*")
+    return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows (by..., column, value, n): how often each known value occurs in each group."""
+    return _known_values(df, columns, by).groupBy(*by, "column", "value").agg(F.count("*").alias("n"))
 
 
-def _bucket(value: Column, low: Column, high: Column) -> Column:
+def _limits(low: Column, high: Column, total: Column) -> list[Column]:
+    """Per group: the least value, two scales that map its range to buckets, and its size."""
+    span = high - low
+    return [
+        low.alias("_low"),
+        F.when(span > 0, BUCKETS / span).otherwise(F.lit(0.0)).alias("_even"),
+        F.when(span > 0, BUCKETS / F.log1p(span)).otherwise(F.lit(0.0)).alias("_tail"),
+        total.alias("_total"),
+    ]
+
+
+def _bucket() -> Column:
     """A bucket number that never falls as the value rises.
 
     It is the sum of an even split and a split on a log scale. Each of the two is
     monotone, so the sum is too, and it changes wherever one of them does: flat
     values are told apart by the first, long tails by the second.
     """
-    width, span = value - low, high - low
-    even = F.floor(width / span * BUCKETS)
-    tail = F.floor(F.log1p(width) / F.log1p(span) * BUCKETS)
-    return F.when(span > 0, even + tail).otherwise(F.lit(0)).cast("long")
+    width = F.col("value") - F.col("_low")
+    even = (width * F.col("_even")).cast("long")
+    tail = (F.log1p(width) * F.col("_tail")).cast("long")
+    return (even + tail).alias("_bucket")
 
 
-def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Rows (by..., column, prob, value) from the output of :func:`value_counts`."""
-    group = [*by, "column"]
-    limits = counts.groupBy(*group).agg(
-        F.min("value").alias("_low"), F.max("value").alias("_high"), F.sum("n").alias("_total")
-    )
-    tagged = salted_join(counts, limits, group, F.col("value")).withColumn(
-        "_bucket", _bucket(F.col("value"), F.col("_low"), F.col("_high"))
-    )
+def _wanted_buckets(histogram: DataFrame, group: list[str], probs: Sequence[float]) -> DataFrame:
+    """Buckets that hold a wanted rank, with the rank they begin at and the targets in them."""
     in_order = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    histogram = (
-        tagged.groupBy(*group, "_bucket")
-        .agg(F.sum("n").alias("_n"), F.max("_total").alias("_total"))
-        .withColumn("_end", F.sum("_n").over(in_order))
-        .withColumn("_begin", F.col("_end") - F.col("_n"))
+    ranged = histogram.withColumn("_end", F.sum("_n").over(in_order)).withColumn(
+        "_begin", F.col("_end") - F.col("_n")
     )
 
     def target(p: float) -> Column:
@@ -72,21 +76,22 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[
             F.ceil(place).alias("upper"),
         )
 
-    def inside(rank: Column) -> Column:
-        return (rank >= F.col("_begin")) & (rank < F.col("_end"))
-
-    wanted = histogram.withColumn(
-        "_targets",
-        F.filter(
-            F.array(*[target(p) for p in probs]), lambda t: inside(t["lower"]) | inside(t["upper"])
-        ),
-    ).where(F.size("_targets") > 0)
-    picked = salted_join(
-        tagged.select(*group, "_bucket", "value", "n"),
-        wanted.select(*group, "_bucket", F.col("_begin").alias("_offset"), "_targets"),
-        [*group, "_bucket"],
-        F.col("value"),
+    here = F.filter(
+        F.array(*[target(p) for p in probs]), lambda t: _inside(t["lower"]) | _inside(t["upper"])
     )
+    return (
+        ranged.withColumn("_targets", here)
+        .where(F.size("_targets") > 0)
+        .select(*group, "_bucket", F.col("_begin").alias("_offset"), "_targets")
+    )
+
+
+def _inside(rank: Column) -> Column:
+    return (rank >= F.col("_begin")) & (rank < F.col("_end"))
+
+
+def _read_off(picked: DataFrame, group: list[str]) -> DataFrame:
+    """Interpolated quantiles from the counted values of the wanted buckets."""
     by_value = Window.partitionBy(*group, "_bucket").orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -95,19 +100,81 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[
         .withColumn("_begin", F.col("_end") - F.col("n"))
         .withColumn("_t", F.explode("_targets"))
     )
-    lower = F.max(F.when(inside(F.col("_t.lower")), F.col("value")))
-    upper = F.max(F.when(inside(F.col("_t.upper")), F.col("value")))
+    lower = F.max(F.when(_inside(F.col("_t.lower")), F.col("value")))
+    upper = F.max(F.when(_inside(F.col("_t.upper")), F.col("value")))
     share = F.max(F.col("_t.place") - F.col("_t.lower"))
     return (
-        ranked.where(inside(F.col("_t.lower")) | inside(F.col("_t.upper")))
+        ranked.where(_inside(F.col("_t.lower")) | _inside(F.col("_t.upper")))
         .groupBy(*group, F.col("_t.prob").alias("prob"))
         .agg(lower.alias("_lo"), upper.alias("_hi"), share.alias("_share"))
         .select(*group, "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_share")).alias("value"))
     )
 
 
+def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Rows (by..., column, prob, value) from the output of :func:`value_counts`.
+
+    There may be any number of groups, so their limits are joined with salted keys.
+    """
+    group = [*by, "column"]
+    ends = counts.groupBy(*group).agg(
+        F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total")
+    )
+    limits = ends.select(*group, *_limits(F.col("low"), F.col("high"), F.col("total")))
+    tagged = salted_join(counts, limits, group, F.col("value")).select(
+        *group, "value", "n", "_total", _bucket()
+    )
+    histogram = tagged.groupBy(*group, "_bucket").agg(F.sum("n").alias("_n"), F.max("_total").alias("_total"))
+    picked = salted_join(
+        tagged.select(*group, "_bucket", "value", "n"),
+        _wanted_buckets(histogram, group, probs),
+        [*group, "_bucket"],
+        F.col("value"),
+    )
+    return _read_off(picked, group)
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Rows (column, prob, value) over the whole table.
+
+    No value is shuffled but those in the wanted buckets. The limits have one row
+    per column and the wanted buckets at most two per column and probability, so
+    both can be broadcast whatever the table.
+    """
+    facts = []
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        v = F.when(~F.isnan(v), v)
+        facts += [F.min(v).alias(f"low{i}"), F.max(v).alias(f"high{i}"), F.count(v).alias(f"total{i}")]
+    per_column = F.array(
+        *[
+            F.struct(F.lit(c).alias("column"), *_limits(F.col(f"low{i}"), F.col(f"high{i}"), F.col(f"total{i}")))
+            for i, c in enumerate(columns)
+        ]
+    )
+    limits = df.agg(*facts).select(F.inline(per_column))
+    tagged = (
+        _known_values(df, columns)
+        .join(F.broadcast(limits), "column")
+        .select("column", "value", "_total", _bucket())
+    )
+    histogram = tagged.groupBy("column", "_bucket").agg(
+        F.count("*").alias("_n"), F.max("_total").alias("_total")
+    )
+    wanted = _wanted_buckets(histogram, ["column"], probs)
+    picked = (
+        tagged.join(F.broadcast(wanted.select("column", "_bucket")), ["column", "_bucket"], "left_semi")
+        .groupBy("column", "_bucket", "value")
+        .agg(F.count("*").alias("n"))
+        .join(F.broadcast(wanted), ["column", "_bucket"])
+    )
+    return _read_off(picked, ["column"])
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Rows (by..., column, prob, value): linearly interpolated quantiles of each column."""
-    return quantiles_of_counts(value_counts(df, columns, by), probs, by)
+    if by:
+        return quantiles_of_counts(value_counts(df, columns, by), probs, by)
+    return column_quantiles(df, columns, probs)

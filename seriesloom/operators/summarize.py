@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .quantiles import quantiles_of_counts, value_counts
+from .quantiles import column_quantiles, quantiles_of_counts, value_counts
 from .skew import salted_join
 
 PROFILE_PROBS = (0.0, 0.05, 0.5, 0.95, 0.99, 1.0)
@@ -87,8 +87,7 @@ def quantile_label(p: float) -> str:
 
 def quantile_table(df: DataFrame, probs: Sequence[float] = PROFILE_PROBS) -> DataFrame:
     """One row per numeric column, one column per quantile."""
-    columns = numeric_columns(df)
-    long = quantiles_of_counts(value_counts(df, columns), probs)
+    long = column_quantiles(df, numeric_columns(df), probs)
     return long.groupBy(F.col("column").alias("column_name")).agg(
         *[F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(quantile_label(p)) for p in probs]
     )
@@ -97,26 +96,18 @@ def quantile_table(df: DataFrame, probs: Sequence[float] = PROFILE_PROBS) -> Dat
 def describe_column(df: DataFrame, y: str, probs: Sequence[float] = DESCRIBE_PROBS) -> DataFrame:
     """Rows (stat, value): count, mean, std, min, quantiles and max of one column."""
     probs = sorted({*probs, 0.5})
-    # The value counts carry everything: they are shuffled once, for all statistics.
-    counts = value_counts(df, [y])
-    n, v = F.col("n"), F.col("value")
-    size = F.sum(n)
-    mean = F.sum(n * v) / size
-    moments = counts.agg(
-        size.alias("_n"), mean.alias("_mean"), F.min(v).alias("_min"), F.max(v).alias("_max")
-    )
-    spread = df.agg(F.stddev_samp(F.col(y).cast("double")).alias("_std"))
-    stats = F.array(
-        F.struct(F.lit("count").alias("stat"), F.col("_n").cast("double").alias("value")),
-        F.struct(F.lit("mean").alias("stat"), F.col("_mean").alias("value")),
-        F.struct(F.lit("min").alias("stat"), F.col("_min").alias("value")),
-        F.struct(F.lit("max").alias("stat"), F.col("_max").alias("value")),
-    )
-    basic = moments.select(F.explode(stats).alias("_s")).select("_s.*")
-    deviation = spread.select(F.lit("std").alias("stat"), F.col("_std").alias("value"))
-    quantiles = quantiles_of_counts(counts, probs)
-    label = F.concat(F.round(F.col("prob") * 100, 4).cast("int").cast("string"), F.lit("%"))
-    return basic.unionByName(deviation).unionByName(quantiles.select(label.alias("stat"), "value"))
+    v = F.col(y).cast("double")
+    basic = {
+        "count": F.count(v).cast("double"),
+        "mean": F.avg(v),
+        "std": F.stddev_samp(v),
+        "min": F.min(v),
+        "max": F.max(v),
+    }
+    rows = F.array(*[F.struct(F.lit(n).alias("stat"), F.col(n).alias("value")) for n in basic])
+    label = F.concat((F.col("prob") * 100).cast("decimal(9,4)").cast("double").cast("int").cast("string"), F.lit("%"))
+    quantiles = column_quantiles(df, [y], probs).select(label.alias("stat"), "value")
+    return df.agg(*[e.alias(n) for n, e in basic.items()]).select(F.inline(rows)).unionByName(quantiles)
 
 
 def profile(df: DataFrame, order: Sequence[str], head: int = 5) -> DataFrame:
@@ -171,7 +162,7 @@ def profile(df: DataFrame, order: Sequence[str], head: int = 5) -> DataFrame:
         ]
         parts.append(rows.select(F.explode(F.array(*cells)).alias("_e")))
 
-    quantiles = quantiles_of_counts(value_counts(df, numeric_columns(df)), PROFILE_PROBS)
+    quantiles = column_quantiles(df, numeric_columns(df), PROFILE_PROBS)
     parts.append(
         quantiles.select(
             entry("quantiles", F.col("column"), F.col("prob").cast("string"), F.col("value"), no_text).alias("_e")

@@ -10,7 +10,7 @@ from ..operators.decompose import component_means, components_long, decompose
 from ..operators.segments import backward_fill_long, over_segments
 from ..panel import Panel
 from ..sources import tables
-from .registry import DENSE, MONTHLY, SALES, SPARSE, day, num, query, shown
+from .registry import DENSE, MONTHLY, SALES, SPARSE, day, num, query, rounded, shown
 
 LAGS = (91, 98, 105, 112, 119, 126, 182, 364, 546, 728)
 ALPHAS = (0.95, 0.9, 0.8, 0.7, 0.5)
@@ -117,8 +117,7 @@ def roll_triang_many(spark, folder):
 
 
 def _with_coarse(panel: Panel, columns: list[str]):
-    rounded = {c: F.round(F.col(c) + OFF_HALF, 2) for c in columns}
-    return shown(panel.frame().withColumns(rounded))
+    return shown(panel.frame().withColumns({c: rounded(F.col(c) + OFF_HALF, 2) for c in columns}))
 
 
 def _ewm_sql(alphas, lags, names) -> str:
@@ -249,10 +248,10 @@ weighted AS (
   FROM placed a JOIN placed b
     ON b.event_type = a.event_type AND b.rn < a.rn AND b.rn >= a.rn - 19
   GROUP BY a.event_id)
-SELECT p.event_type, p.event_id, {num('p.value', 'value')},
-  {num(f'lag(p.value, 7) {OVER_PLACED}', 'value_lag_7')}, {num(f'lag(p.value, 91) {OVER_PLACED}', 'value_lag_91')},
+SELECT p.event_type, p.event_id, {num('p.value', 'value', 6)},
+  {num(f'lag(p.value, 7) {OVER_PLACED}', 'value_lag_7', 6)}, {num(f'lag(p.value, 91) {OVER_PLACED}', 'value_lag_91', 6)},
   {num(f'CASE WHEN p.rn > 3 THEN avg(p.value) {OVER_PLACED.replace(')', ' ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)')} END', 'roll3_shift1', 6)},
-  {num('CASE WHEN w.known >= 10 THEN w.mean END', 'value_roll_mean_19')}
+  {num('CASE WHEN w.known >= 10 THEN w.mean END', 'value_roll_mean_19', 6)}
 FROM placed p LEFT JOIN weighted w ON w.event_id = p.event_id""",
 )
 def segmented_features(spark, folder):
@@ -264,9 +263,7 @@ def segmented_features(spark, folder):
         return windows.triangular_means(panel, (19,))
 
     done = over_segments(_events(spark, folder), build, reach=91, tie_break=("event_id",), rows=SEGMENT_ROWS)
-    roll = F.round("roll3_shift1", 6).alias("roll3_shift1")
-    others = [F.round(c, 4).alias(c) for c in ("value", "value_lag_7", "value_lag_91", "value_roll_mean_19")]
-    return done.select("event_type", "event_id", roll, *others)
+    return shown(done.drop("ts"), 6)
 
 
 @query(
@@ -330,5 +327,6 @@ def all_features(spark, folder):
     panel = windows.lag_features(tables.sparse_panel(spark, folder), PANEL_LAGS)
     panel = windows.triangular_means(panel, PANEL_ROLLS)
     panel = windows.ewm_features(panel, ALPHAS, PANEL_EWM_LAGS)
-    rolls = {f"sales_roll_mean_{n}": F.round(F.col(f"sales_roll_mean_{n}") + OFF_HALF, 3) for n in PANEL_ROLLS}
+    names = [f"sales_roll_mean_{n}" for n in PANEL_ROLLS]
+    rolls = {c: rounded(F.col(c) + OFF_HALF, 3) for c in names}
     return shown(panel.frame().withColumns(rolls))
