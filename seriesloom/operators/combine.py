@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_parts
 from ..panel import Panel
+from .skew import salted_join
 
 
 def stack(*tables: DataFrame) -> DataFrame:
@@ -18,8 +19,17 @@ def stack(*tables: DataFrame) -> DataFrame:
 
 
 def join_covariate(df: DataFrame, per_date: DataFrame, on: str, drop: Sequence[str] = ()) -> DataFrame:
-    """Full outer join with a table of one row per date; unmatched rows of both sides stay."""
-    return df.join(per_date, on=on, how="full").drop(*drop)
+    """Full outer join with a table by date; unmatched rows of both sides stay.
+
+    There are few dates and many rows for each, so a plain join on the date would
+    leave a handful of huge tasks. The rows of a date are spread by salt instead
+    (or not shuffled at all, where Spark finds the other side small enough to
+    broadcast), and dates only the other side has are added from a check against
+    the distinct dates.
+    """
+    matched = salted_join(df, per_date, [on], F.xxhash64(*df.columns), how="left")
+    lacking = per_date.join(df.select(on).distinct(), on=on, how="left_anti")
+    return matched.unionByName(lacking, allowMissingColumns=True).drop(*drop)
 
 
 def all_but(df: DataFrame, *drop: str) -> list[str]:
@@ -78,6 +88,11 @@ def align(forecast: DataFrame, actual: DataFrame, on: Sequence[str]) -> DataFram
     return actual.join(forecast, on=list(on), how="inner")
 
 
+def unmatched(forecast: DataFrame, actual: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Actual rows no forecast was made for; empty if the horizon is covered."""
+    return actual.join(forecast.select(*on), on=list(on), how="left_anti")
+
+
 def overlay(train: DataFrame, test: DataFrame, forecast: DataFrame) -> DataFrame:
     """Training values, test values and predictions in one labelled table."""
     parts = (("TRAIN", train), ("TEST", test), ("PREDICTION", forecast))

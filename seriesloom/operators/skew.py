@@ -11,14 +11,21 @@ SALTS = 64
 
 
 def salted_join(
-    big: DataFrame, small: DataFrame, on: Sequence[str], spread: Column, salts: int = SALTS
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    spread: Column,
+    how: str = "inner",
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Inner join of many rows with one row per key.
+    """Inner or left join of many rows with few rows per key.
 
-    Rows of one key go to ``salts`` tasks by the hash of ``spread``; the one row
-    of the key is repeated for each. Nothing is broadcast by hint: Spark may still
+    Rows of one key go to ``salts`` tasks by the hash of ``spread``; the few rows
+    of the key are repeated for each. Nothing is broadcast by hint: Spark may still
     choose to, once it has measured the small side.
     """
+    if how not in ("inner", "left"):
+        raise ValueError("the repeated side cannot be the outer one")
     left = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, on=[*on, "_salt"], how="inner").drop("_salt")
+    return left.join(right, on=[*on, "_salt"], how=how).drop("_salt")

@@ -314,6 +314,23 @@ def grid_best(
     return pick_best(grid_scores(split, keys, method, grid, init, period), keys, "mae", [*grid.axes])
 
 
+def compare_methods(
+    split: DataFrame, keys: list[str], grids: Mapping[str, Grid], init: str = "simple", period: int = 12
+) -> DataFrame:
+    """Rows (keys, method, mae): the best holdout error each method reaches.
+
+    The grids are worked through on the one row of a series, method after method.
+    """
+    found = [
+        F.struct(
+            F.lit(method).alias("method"),
+            F.array_min(grid_errors(F.col("train"), F.col("test"), method, grid, init, period)).alias("mae"),
+        )
+        for method, grid in grids.items()
+    ]
+    return split.select(*keys, F.inline(F.array(*found)))
+
+
 def forecast(
     arrays: DataFrame,
     keys: list[str],

@@ -216,18 +216,28 @@ def first_rows(panel: Panel, n: int = 5) -> Panel:
 
 
 def calendar_spine(panel: Panel, period: str = "day") -> Panel:
-    """Every period between the first and last of each series, with NULL where none was measured."""
-    steps = {"day": "1 day", "week": "1 week", "month": "1 month", "hour": "1 hour"}
+    """Every period between the first and last of each series, with NULL where none was measured.
+
+    Each row brings the periods up to the next row of its series with it, so the
+    gaps are filled on the partitioning of the window, without a join.
+    """
+    if period not in ("hour", "day", "week", "month"):
+        raise ValueError(f"unknown period {period!r}")
     df = panel.df.where(panel.has_key) if panel.null_keys else panel.df
-    spine = (
-        df.groupBy(*panel.keys)
-        .agg(F.min(panel.ts).alias("_from"), F.max(panel.ts).alias("_to"))
-        .select(
-            *panel.keys,
-            F.explode(F.sequence("_from", "_to", F.expr(f"interval {steps[period]}"))).alias(panel.ts),
-        )
+    step = F.expr(f"interval 1 {period}")
+    following = F.lead(panel.ts).over(panel.window())
+    until = F.coalesce(following - step, F.col(panel.ts)).cast(df.schema[panel.ts].dataType)
+    grown = df.withColumn("_until", until).select(
+        *df.columns, F.posexplode(F.sequence(F.col(panel.ts), F.col("_until"), step)).alias("_gap", "_moment")
     )
-    return panel.with_df(spine.join(df, on=[*panel.keys, panel.ts], how="left"))
+    measured = F.col("_gap") == 0
+
+    def column(c: str) -> Column:
+        if c == panel.ts:
+            return F.col("_moment").alias(c)
+        return F.col(c) if c in panel.keys else F.when(measured, F.col(c)).alias(c)
+
+    return panel.with_df(grown.select(*[column(c) for c in df.columns]))
 
 
 def backward_fill(panel: Panel, into: str | None = None) -> Panel:

@@ -222,12 +222,26 @@ def decompose_summary(spark, folder):
     return shown(component_means(decompose(monthly_panel(spark, folder)), ["supplier"]))
 
 
-@query("noise")
+@query(
+    "noise",
+    f"""WITH {SPARSE}, lagged AS (SELECT flag, lag(sales, 1) {OVER_SPARSE} AS v FROM sparse_panel)
+SELECT flag, count(v) AS n, true AS centred, true AS spread FROM lagged GROUP BY flag""",
+)
 def noise(spark, folder):
-    """Lags with random noise on top; checked for its spread, not its values."""
-    panel = tables.sparse_panel(spark, folder)
-    noisy = windows.lag_features(panel, [1, 7], noise_sd=1.6, seed=11)
-    return noisy.frame()
+    """Random noise on lags: as many draws as rows, around zero, with the set spread."""
+    panel = windows.lag_features(tables.sparse_panel(spark, folder), [1])
+    plain = panel.df.withColumnRenamed("sales_lag_1", "plain")
+    noisy = windows.lag_features(panel.with_df(plain), [1], noise_sd=1.6, seed=11)
+    added = F.col("sales_lag_1") - F.col("plain")
+    return (
+        noisy.frame()
+        .groupBy("flag")
+        .agg(
+            F.count(added).alias("n"),
+            (F.abs(F.avg(added)) < 0.2).alias("centred"),
+            F.stddev_samp(added).between(1.4, 1.8).alias("spread"),
+        )
+    )
 
 
 EVENTS = "events_panel AS (SELECT event_type, ts, event_id, value FROM events)"

@@ -203,6 +203,22 @@ _register_best("des_best", "double", DES_GRID)
 _register_best("tes_best", "triple", TES_GRID)
 
 
+METHOD_GRIDS = (("single", SES_GRID), ("double", DES_GRID), ("triple", TES_GRID))
+
+
+@query(
+    "method_comparison",
+    "\nUNION ALL\n".join(
+        f"SELECT '{method}' AS method, * FROM ({grid_sql(method, grid)}, {best_cte(grid)}\n"
+        f"SELECT supplier, {num('mae')} FROM best)"
+        for method, grid in METHOD_GRIDS
+    ),
+)
+def method_comparison(spark, folder):
+    """The best holdout error of every method for every series."""
+    return shown(smoothing.compare_methods(split(spark, folder), KEYS, dict(METHOD_GRIDS)))
+
+
 def _final_sql() -> str:
     refit = fold_cte("triple", "m.n", start="monthly m JOIN best g ON g.supplier = m.supplier")
     refit = refit.replace("starts AS", "starts2 AS").replace("JOIN starts s", "JOIN starts2 s")
