@@ -132,7 +132,7 @@ def _start(w: np.ndarray, order: Sequence[int], period: int, mean: bool) -> np.n
 def fit(y, p: int, d: int, q: int, sp: int = 0, sd: int = 0, sq: int = 0, period: int = 12, steps: int = 40) -> dict:
     """Weights, residuals and AIC of one order on one series.
 
-    A mean is fitted where nothing is differenced.
+    A mean is fitted where nothing is differenced; it is the last of the weights.
     """
     y = np.asarray(y, dtype=float)
     order = (p, q, sp, sq)
@@ -183,12 +183,13 @@ def fit(y, p: int, d: int, q: int, sp: int = 0, sd: int = 0, sq: int = 0, period
     variance = best / n * scale * scale
     if variance <= 0:
         raise ValueError("the series is fitted without error")
+    if mean:
+        theta[-1] *= scale
     return {
         "theta": theta,
         "residuals": e * scale,
         "variance": variance,
         "aic": len(y) * math.log(variance) + 2 * (k + 1),
-        "scale": scale,
         "spec": (p, d, q, sp, sd, sq, period, mean),
     }
 
@@ -198,7 +199,7 @@ def predict(y, model: dict, horizon: int) -> np.ndarray:
     y = np.asarray(y, dtype=float)
     p, d, q, sp, sd, sq, period, mean = model["spec"]
     ar, ma = (c[0] for c in _polynomials(model["theta"][None, :], (p, q, sp, sq), period))
-    mu = model["theta"][-1] * model["scale"] if mean else 0.0
+    mu = model["theta"][-1] if mean else 0.0
     levels = [y]
     for lag in [period] * sd + [1] * d:
         levels.append(levels[-1][lag:] - levels[-1][:-lag])

@@ -75,6 +75,8 @@ def triangular_means(
     difference of running totals of y and of row number times y, and likewise
     for the total weight: four running totals serve windows of all lengths.
     """
+    if not sizes:
+        return panel
     panel = panel.spread_null_keys()
     w = panel.window()
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -195,6 +197,8 @@ def ewm_features(panel: Panel, alphas: Sequence[float], lags: Sequence[int]) ->
     totals of the m rows before. Six offsets cover 64 rows, which for alpha .5
     leaves out weights below 1e-19.
     """
+    if not alphas or not lags:
+        return panel
     panel = panel.spread_null_keys()
     df, names = _exponential_means(panel, alphas, "_ewm")
     w = panel.window()
