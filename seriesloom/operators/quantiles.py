@@ -2,20 +2,25 @@
 
 The built-in exact percentile keeps all distinct values of a group in one task.
 Here values are counted in order-keeping buckets, and only the buckets that hold
-a wanted rank are sorted. A bucket never splits a value, so the result is exact
-and linearly interpolated.
+a wanted rank are looked at again: in finer buckets of their own while they are
+large, and sorted when they are small. A bucket never splits a value, so the
+result is exact; it is linearly interpolated.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .skew import salted_join
 
 BUCKETS = 16384
+# Rows of one bucket that a single task may sort; a bucket with more is split again.
+SORTED_ROWS = 1_000_000
+Join = Callable[[DataFrame, DataFrame, list[str]], DataFrame]
 
 
 def _known_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -34,14 +39,13 @@ def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
     return _known_values(df, columns, by).groupBy(*by, "column", "value").agg(F.count("*").alias("n"))
 
 
-def _limits(low: Column, high: Column, total: Column) -> list[Column]:
-    """Per group: the least value, two scales that map its range to buckets, and its size."""
+def _limits(low: Column, high: Column) -> list[Column]:
+    """The least value, and two scales that map the range to buckets."""
     span = high - low
     return [
         low.alias("_low"),
-        F.when(span > 0, BUCKETS / span).otherwise(F.lit(0.0)).alias("_even"),
-        F.when(span > 0, BUCKETS / F.log1p(span)).otherwise(F.lit(0.0)).alias("_tail"),
-        total.alias("_total"),
+        F.when(span > 0, F.least(BUCKETS / span, F.lit(1e300))).otherwise(F.lit(0.0)).alias("_even"),
+        F.when(span > 0, F.least(BUCKETS / F.log1p(span), F.lit(1e300))).otherwise(F.lit(0.0)).alias("_tail"),
     ]
 
 
@@ -55,20 +59,14 @@ def _bucket() -> Column:
     width = F.col("value") - F.col("_low")
     even = (width * F.col("_even")).cast("long")
     tail = (F.log1p(width) * F.col("_tail")).cast("long")
-    return (even + tail).alias("_bucket")
+    return even + tail
 
 
-def _wanted_buckets(histogram: DataFrame, group: list[str], probs: Sequence[float]) -> DataFrame:
-    """Buckets that hold a wanted rank, with the rank they begin at and the targets in them."""
-    in_order = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranged = histogram.withColumn("_end", F.sum("_n").over(in_order)).withColumn(
-        "_begin", F.col("_end") - F.col("_n")
-    )
+def _targets(total: Column, probs: Sequence[float]) -> Column:
+    """The ranks around each probability, counted from 0."""
 
     def target(p: float) -> Column:
-        place = F.lit(float(p)) * (F.col("_total") - 1)
+        place = F.lit(float(p)) * (total - 1)
         return F.struct(
             F.lit(float(p)).alias("prob"),
             place.alias("place"),
@@ -76,13 +74,16 @@ def _wanted_buckets(histogram: DataFrame, group: list[str], probs: Sequence[floa
             F.ceil(place).alias("upper"),
         )
 
-    here = F.filter(
-        F.array(*[target(p) for p in probs]), lambda t: _inside(t["lower"]) | _inside(t["upper"])
-    )
-    return (
-        ranged.withColumn("_targets", here)
-        .where(F.size("_targets") > 0)
-        .select(*group, "_bucket", F.col("_begin").alias("_offset"), "_targets")
+    return F.array(*[target(p) for p in probs])
+
+
+def _whole(ends: DataFrame, group: list[str], probs: Sequence[float]) -> DataFrame:
+    """The first cells: one per group, from its least and greatest value and its size."""
+    return ends.select(
+        *group,
+        *_limits(F.col("low"), F.col("high")),
+        F.lit(0).cast("long").alias("_offset"),
+        _targets(F.col("total"), probs).alias("_targets"),
     )
 
 
@@ -90,13 +91,52 @@ def _inside(rank: Column) -> Column:
     return (rank >= F.col("_begin")) & (rank < F.col("_end"))
 
 
-def _read_off(picked: DataFrame, group: list[str]) -> DataFrame:
-    """Interpolated quantiles from the counted values of the wanted buckets."""
-    by_value = Window.partitionBy(*group, "_bucket").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+def _narrow(rows: DataFrame, cells: DataFrame, key: list[str], name: str, join: Join) -> tuple[DataFrame, DataFrame]:
+    """Split cells into buckets and keep those that hold a wanted rank.
+
+    ``cells`` have limits, the rank they begin at and the targets in them; ``rows``
+    are counted values. Both come back keyed by one more column, ``name``. The kept
+    cells are few and written out, so that the next round starts from a short plan.
+    """
+    tagged = join(rows, cells.select(*key, "_low", "_even", "_tail"), key).select(
+        *key, _bucket().alias(name), "value", "n"
+    )
+    running = Window.partitionBy(*key).orderBy(name).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A cell has about two buckets per step of its range, however many rows it has.
+    counted = (
+        tagged.groupBy(*key, name)
+        .agg(
+            F.sum("n").alias("_n"),
+            F.count("*").alias("_rows"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+        )
+        .withColumn("_end", F.sum("_n").over(running))
+    )
+    placed = cut_lineage(
+        join(counted, cells.select(*key, "_offset", "_targets"), key)
+        .withColumn("_end", F.col("_end") + F.col("_offset"))
+        .withColumn("_begin", F.col("_end") - F.col("_n"))
+        .withColumn("_targets", F.filter("_targets", lambda t: _inside(t["lower"]) | _inside(t["upper"])))
+        .where(F.size("_targets") > 0)
+        .select(
+            *key,
+            name,
+            F.col("_begin").alias("_offset"),
+            "_targets",
+            *_limits(F.col("low"), F.col("high")),
+            ((F.col("_rows") > SORTED_ROWS) & (F.col("low") < F.col("high"))).alias("_large"),
+        )
     )
+    return join(tagged, placed.select(*key, name), [*key, name]), placed
+
+
+def _read_off(rows: DataFrame, cells: DataFrame, key: list[str], group: list[str], join: Join) -> DataFrame:
+    """Interpolated quantiles from the counted values of the last cells."""
+    by_value = Window.partitionBy(*key).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (
-        picked.withColumn("_end", F.col("_offset") + F.sum("n").over(by_value))
+        join(rows, cells, key)
+        .withColumn("_end", F.col("_offset") + F.sum("n").over(by_value))
         .withColumn("_begin", F.col("_end") - F.col("n"))
         .withColumn("_t", F.explode("_targets"))
     )
@@ -111,6 +151,22 @@ def _read_off(picked: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
+def _quantiles(rows: DataFrame, cells: DataFrame, group: list[str], join: Join) -> DataFrame:
+    """Narrow until every wanted cell is small enough for one task to sort, then read off.
+
+    One round is the rule; crowded values take more, each thousands of times finer.
+    """
+    key = list(group)
+    while True:
+        name = f"_bucket{len(key) - len(group)}"
+        rows, cells = _narrow(rows, cells, key, name, join)
+        key.append(name)
+        if not cells.where("_large").limit(1).count():
+            break
+    kept = rows.groupBy(*key, "value").agg(F.sum("n").alias("n"))
+    return _read_off(kept, cells.select(*key, "_offset", "_targets"), key, group, join)
+
+
 def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
     """Rows (by..., column, prob, value) from the output of :func:`value_counts`.
 
@@ -120,18 +176,14 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[
     ends = counts.groupBy(*group).agg(
         F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total")
     )
-    limits = ends.select(*group, *_limits(F.col("low"), F.col("high"), F.col("total")))
-    tagged = salted_join(counts, limits, group, F.col("value")).select(
-        *group, "value", "n", "_total", _bucket()
-    )
-    histogram = tagged.groupBy(*group, "_bucket").agg(F.sum("n").alias("_n"), F.max("_total").alias("_total"))
-    picked = salted_join(
-        tagged.select(*group, "_bucket", "value", "n"),
-        _wanted_buckets(histogram, group, probs),
-        [*group, "_bucket"],
-        F.col("value"),
-    )
-    return _read_off(picked, group)
+    cells = _whole(ends, group, probs)
+
+    def join(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+        # Rows of one group differ in the columns that are not the group.
+        rest = [c for c in big.columns if c not in on]
+        return salted_join(big, small, on, F.xxhash64(*rest))
+
+    return _quantiles(counts, cells, group, join)
 
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
@@ -148,27 +200,18 @@ def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
         facts += [F.min(v).alias(f"low{i}"), F.max(v).alias(f"high{i}"), F.count(v).alias(f"total{i}")]
     per_column = F.array(
         *[
-            F.struct(F.lit(c).alias("column"), *_limits(F.col(f"low{i}"), F.col(f"high{i}"), F.col(f"total{i}")))
+            F.struct(
+                F.lit(c).alias("column"),
+                F.col(f"low{i}").alias("low"),
+                F.col(f"high{i}").alias("high"),
+                F.col(f"total{i}").alias("total"),
+            )
             for i, c in enumerate(columns)
         ]
     )
-    limits = df.agg(*facts).select(F.inline(per_column))
-    tagged = (
-        _known_values(df, columns)
-        .join(F.broadcast(limits), "column")
-        .select("column", "value", "_total", _bucket())
-    )
-    histogram = tagged.groupBy("column", "_bucket").agg(
-        F.count("*").alias("_n"), F.max("_total").alias("_total")
-    )
-    wanted = _wanted_buckets(histogram, ["column"], probs)
-    picked = (
-        tagged.join(F.broadcast(wanted.select("column", "_bucket")), ["column", "_bucket"], "left_semi")
-        .groupBy("column", "_bucket", "value")
-        .agg(F.count("*").alias("n"))
-        .join(F.broadcast(wanted), ["column", "_bucket"])
-    )
-    return _read_off(picked, ["column"])
+    cells = _whole(df.agg(*facts).select(F.inline(per_column)), ["column"], probs)
+    rows = _known_values(df, columns).withColumn("n", F.lit(1).cast("long"))
+    return _quantiles(rows, cells, ["column"], lambda big, small, on: big.join(F.broadcast(small), on))
 
 
 def exact_quantiles(

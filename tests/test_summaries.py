@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesloom import Panel
-from seriesloom.operators import combine, summarize
+from seriesloom.operators import combine, quantiles, summarize
 from seriesloom.operators.quantiles import exact_quantiles
 from seriesloom.operators.skew import salted_join
 
@@ -22,11 +22,13 @@ def values_of(kind, n=2000):
         "few values": rng.integers(0, 3, n).astype(float),
         "one value": np.full(n, 7.25),
         "tiny range": 1e6 + rng.uniform(0, 1e-6, n),
+        "crowded": np.concatenate([[0.0, 1e9], 0.5 + rng.uniform(0, 1e-9, n - 2)]),
+        "below zero": -rng.lognormal(0, 4, n),
         "with gaps": np.where(rng.random(n) < 0.3, np.nan, rng.normal(size=n)),
     }[kind]
 
 
-@pytest.mark.parametrize("kind", ["flat", "long tail", "few values", "one value", "tiny range", "with gaps"])
+@pytest.mark.parametrize("kind", ["flat", "long tail", "few values", "one value", "tiny range", "crowded", "below zero", "with gaps"])
 def test_quantiles_equal_pandas(spark, kind):
     v = pd.Series(values_of(kind))
     df = spark.createDataFrame([(float(x) if x == x else None,) for x in v], "v double").repartition(5)
@@ -35,6 +37,21 @@ def test_quantiles_equal_pandas(spark, kind):
         assert got[p] == pytest.approx(v.quantile(p), rel=1e-12)
 
 
+def test_large_buckets_are_split_again(spark, monkeypatch):
+    """With a limit of a few rows per bucket, crowded values take several rounds."""
+    monkeypatch.setattr(quantiles, "SORTED_ROWS", 5)
+    rounds = []
+    narrow = quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: rounds.append(1) or narrow(*a))
+    for by in ([], ["g"]):
+        rounds.clear()
+        v = pd.Series(values_of("crowded", 300))
+        df = spark.createDataFrame([("a", float(x)) for x in v], "g string, v double")
+        got = {r["prob"]: r["value"] for r in exact_quantiles(df, ["v"], PROBS, by=by).collect()}
+        assert got == {p: pytest.approx(v.quantile(p), rel=1e-12) for p in PROBS}
+        assert len(rounds) > 1
+
+
 def test_grouped_quantiles_with_a_hot_group(spark):
     """One group holds most rows, one has a single row, and rows without a group are left out."""
     rng = random.Random(3)
