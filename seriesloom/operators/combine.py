@@ -101,6 +101,17 @@ def overlay(train: DataFrame, test: DataFrame, forecast: DataFrame) -> DataFrame
     )
 
 
+def overlay_marked(df: DataFrame, keep: Sequence[str], y: str, prediction: str) -> DataFrame:
+    """The same from one table with a train/test mark: each row is read once.
+
+    Test rows give two rows, the measured and the predicted value.
+    """
+    measured = F.struct(F.col(y).alias(y), F.upper("part").alias("part"))
+    predicted = F.struct(F.col(prediction).alias(y), F.lit("PREDICTION").alias("part"))
+    rows = F.when(F.col("part") == "test", F.array(measured, predicted)).otherwise(F.array(measured))
+    return df.select(*keep, F.inline(rows))
+
+
 def category_values(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> dict[str, list]:
     """Sorted distinct known values per column, learned in one job.
 

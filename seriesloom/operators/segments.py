@@ -76,7 +76,7 @@ def over_segments(
     chunks = placed.withColumn("_copy", F.explode(copies)).withColumns(
         {CHUNK: F.col("_copy.chunk"), BORROWED: F.col("_copy.borrowed")}
     )
-    inner = Panel(chunks.drop("_copy", PIECE), (*panel.keys, CHUNK), PLACE, panel.y, null_keys=False)
+    inner = Panel(chunks.drop("_copy", PIECE), (*panel.keys, CHUNK), PLACE, panel.y, null_keys=False, bounded=True)
     done = features(inner).frame().where(~F.col(BORROWED)).drop(CHUNK, BORROWED, PLACE)
     if not panel.null_keys:
         return done

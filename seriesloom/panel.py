@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -23,6 +24,7 @@ class Panel:
 
     ``null_keys`` says whether key columns may be NULL. Such rows belong to no
     series: they are kept, but every per-series feature of theirs is NULL.
+    ``bounded`` says that something other than a DATE bounds the length of a series.
     """
 
     df: DataFrame
@@ -30,6 +32,7 @@ class Panel:
     ts: str
     y: str
     null_keys: bool = True
+    bounded: bool = False
 
     def __post_init__(self) -> None:
         missing = [c for c in (*self.keys, self.ts, self.y) if c not in self.df.columns]
@@ -67,7 +70,7 @@ class Panel:
             *[F.col(source).alias(name) for name, source in names.items()],
             moment.alias(ts_name),
         ).agg(*[expr.alias(name) for name, expr in measures.items()])
-        return cls(df, tuple(names), ts_name, y or next(iter(measures)), null_keys=False)
+        return cls(df, tuple(names), ts_name, y or next(iter(measures)), null_keys=False, bounded=True)
 
     def with_df(self, df: DataFrame) -> Panel:
         return replace(self, df=df)
@@ -101,6 +104,10 @@ class Panel:
 
     def window(self) -> WindowSpec:
         """The one ordered window all per-series operators share: one shuffle, one sort."""
+        if not (self.bounded or self.calendar_bound):
+            warnings.warn(
+                "series of raw timestamps may outgrow one task: see operators.segments", stacklevel=3
+            )
         return Window.partitionBy(*self.partition_columns()).orderBy(self.ts)
 
     def group_window(self) -> WindowSpec:

@@ -120,11 +120,11 @@ def _with_coarse(panel: Panel, columns: list[str]):
     return shown(panel.frame().withColumns({c: rounded(F.col(c) + OFF_HALF, 2) for c in columns}))
 
 
-def _ewm_sql(alphas, lags, names) -> str:
+def _ewm_sql(alphas, lags, names, digits: int = 3) -> str:
     """The recurrence itself, row by row, and then offsets of its result."""
     grid = ", ".join(f"({a})" for a in alphas)
     shifted = ", ".join(
-        num(f"lag(m{alpha_text(a)}, {k}) {OVER_SALES}", f'"{names(a, k)}"') for a in alphas for k in lags
+        num(f"lag(m{alpha_text(a)}, {k}) {OVER_SALES}", f'"{names(a, k)}"', digits) for a in alphas for k in lags
     )
     pivot = ", ".join(f"max(CASE WHEN alpha = {a} THEN mean END) AS m{alpha_text(a)}" for a in alphas)
     return f"""WITH RECURSIVE {DENSE}, grid(alpha) AS (VALUES {grid}),
@@ -142,7 +142,7 @@ means AS (
     SELECT priority, rn, CAST(alpha AS VARCHAR) AS a, alpha, CASE WHEN den > 0 THEN num / den END AS mean FROM fold) f
     ON f.priority = d.priority AND f.rn = d.rn
   GROUP BY d.priority, d.ts, d.rn)
-SELECT priority, {day()}, {num('sales')}, {shifted} FROM means"""
+SELECT priority, {day()}, {num('sales', digits=digits)}, {shifted} FROM means"""
 
 
 PREVIEW_ALPHAS = (0.99, 0.95, 0.7, 0.1)
@@ -150,7 +150,7 @@ PREVIEW_ALPHAS = (0.99, 0.95, 0.7, 0.1)
 
 @query("ewm", _ewm_sql(PREVIEW_ALPHAS, (1,), lambda a, k: f"ewm{alpha_text(a)}"))
 def ewm(spark, folder):
-    return shown(windows.ewm_means(dense_sales(spark, folder), PREVIEW_ALPHAS).frame())
+    return shown(windows.ewm_means(dense_sales(spark, folder), PREVIEW_ALPHAS).frame(), 3)
 
 
 @query(
@@ -158,7 +158,7 @@ def ewm(spark, folder):
     _ewm_sql(ALPHAS, EWM_LAGS, lambda a, k: f"sales_ewm_alpha_{alpha_text(a)}_lag_{k}"),
 )
 def ewm_features(spark, folder):
-    return shown(windows.ewm_features(dense_sales(spark, folder), ALPHAS, EWM_LAGS).frame())
+    return shown(windows.ewm_features(dense_sales(spark, folder), ALPHAS, EWM_LAGS).frame(), 3)
 
 
 @query(
@@ -215,11 +215,11 @@ def decompose_mul(spark, folder):
 @query(
     "decompose_summary",
     _parts_sql("additive")
-    + f"\nSELECT supplier, {num('avg(seasonal)', 'seasonal_mean')}, {num('avg(residual)', 'residual_mean')} FROM parts GROUP BY supplier",
+    + f"\nSELECT supplier, {num('avg(seasonal)', 'seasonal_mean', 7)}, {num('avg(residual)', 'residual_mean', 7)} FROM parts GROUP BY supplier",
 )
 def decompose_summary(spark, folder):
     """Seasonal and residual means; the former differ from zero by the uneven last year only."""
-    return shown(component_means(decompose(monthly_panel(spark, folder)), ["supplier"]))
+    return shown(component_means(decompose(monthly_panel(spark, folder)), ["supplier"]), 7)
 
 
 @query(

@@ -297,13 +297,7 @@ def forecast_overlay(spark, folder):
     """Training, test and predicted values in one labelled table."""
     panel = windows.lag_features(tables.sales_panel(spark, folder), [91])
     marked = combine.split_by_position(panel, 120)
-    columns = ["priority", "ts", "sales"]
-    train = marked.where(F.col("part") == "train").select(*columns)
-    test = marked.where(F.col("part") == "test").select(*columns)
-    predicted = marked.where(F.col("part") == "test").select(
-        "priority", "ts", F.col("sales_lag_91").alias("sales")
-    )
-    return shown(combine.overlay(train, test, predicted))
+    return shown(combine.overlay_marked(marked, ["priority", "ts"], "sales", "sales_lag_91"))
 
 
 @query(

@@ -25,7 +25,7 @@ def hot_panel(spark, n=4000, seed=1):
 
 def order_panel(panel):
     """The same rows with an exact order as time, for the plain window operators."""
-    return Panel(panel.df.withColumn("at", F.struct("ts", "id")), ("k",), "at", "y")
+    return Panel(panel.df.withColumn("at", F.struct("ts", "id")), ("k",), "at", "y", bounded=True)
 
 
 def build(panel):
@@ -66,3 +66,8 @@ def test_backward_fill_across_pieces(spark):
     whole = windows.backward_fill(order_panel(sparse), into="f").frame()
     key = lambda r: r["id"]
     assert sorted(got.select("id", "f").collect(), key=key) == sorted(whole.select("id", "f").collect(), key=key)
+
+
+def test_plain_windows_warn_about_raw_timestamps(spark):
+    with pytest.warns(UserWarning, match="segments"):
+        windows.lag_features(hot_panel(spark, 50), [1])

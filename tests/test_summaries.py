@@ -207,3 +207,13 @@ def test_aggregate_drops_rows_without_a_key(spark):
     assert [tuple(r) for r in panel.df.collect()] == [("a", dt.date(2020, 1, 1), 3.0)]
     assert panel.calendar_bound
     assert not Panel.aggregate(df, ["k"], "t", {"y": F.sum("v")}, period="hour").calendar_bound
+
+
+def test_overlays_agree(spark):
+    rows = [("a", i, float(i), float(i) / 2, "train" if i < 3 else "test") for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, ts int, y double, p double, part string")
+    cut = lambda part, c: df.where(F.col("part") == part).select("k", "ts", F.col(c).alias("y"))
+    three = combine.overlay(cut("train", "y"), cut("test", "y"), cut("test", "p"))
+    one = combine.overlay_marked(df, ["k", "ts"], "y", "p")
+    assert sorted(one.collect()) == sorted(three.select(*one.columns).collect())
+    assert one.count() == 7
