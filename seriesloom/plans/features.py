@@ -19,10 +19,6 @@ ROLL_SIZES = (365, 546)
 MONTH_ROLL_SIZES = (91, 120, 152, 182, 242, 402, 542, 722)
 
 
-# Exact halves round by the last bit of a sum; this moves compared values off them.
-OFF_HALF = 0.00123
-
-
 def dense_sales(spark, folder) -> Panel:
     """Daily order value per priority with a row, maybe without a value, for every day."""
     return windows.calendar_spine(tables.sales_panel(spark, folder))
@@ -99,7 +95,7 @@ def _triangular_sql(sizes: tuple[int, ...]) -> str:
   SELECT a.priority, a.ts, a.sales, a.rn - b.rn AS gap, b.sales AS v
   FROM dense a LEFT JOIN dense b ON b.priority = a.priority AND b.rn < a.rn AND b.rn >= a.rn - {max(sizes)}),
 means AS (SELECT priority, ts, max(sales) AS sales, {', '.join(sums)} FROM pairs GROUP BY priority, ts)
-SELECT priority, {day()}, {num('sales')}, {', '.join(num(f't{n} + {OFF_HALF}', f'sales_roll_mean_{n}', 2) for n in sizes)}
+SELECT priority, {day()}, {num('sales')}, {', '.join(num(f't{n}', f'sales_roll_mean_{n}', 2) for n in sizes)}
 FROM means"""
 
 
@@ -117,7 +113,7 @@ def roll_triang_many(spark, folder):
 
 
 def _with_coarse(panel: Panel, columns: list[str]):
-    return shown(panel.frame().withColumns({c: rounded(F.col(c) + OFF_HALF, 2) for c in columns}))
+    return shown(panel.frame().withColumns({c: rounded(F.col(c), 2) for c in columns}))
 
 
 def _ewm_sql(alphas, lags, names, digits: int = 3) -> str:
@@ -331,7 +327,7 @@ means AS (SELECT supplier, flag, rn, {sums}, {ewms} FROM pairs GROUP BY supplier
 joined AS (SELECT p.*, m.* EXCLUDE (supplier, flag, rn) FROM p LEFT JOIN means m
   ON m.supplier = p.supplier AND m.flag = p.flag AND m.rn = p.rn)
 SELECT supplier, flag, {day()}, {num('sales')}, {lags.replace('p.l', 'l')},
-  {', '.join(num(f't{n} + {OFF_HALF}', f'sales_roll_mean_{n}', 3) for n in PANEL_ROLLS)}, {shifted}
+  {', '.join(num(f't{n}', f'sales_roll_mean_{n}', 3) for n in PANEL_ROLLS)}, {shifted}
 FROM joined"""
 
 
@@ -342,5 +338,5 @@ def all_features(spark, folder):
     panel = windows.triangular_means(panel, PANEL_ROLLS)
     panel = windows.ewm_features(panel, ALPHAS, PANEL_EWM_LAGS)
     names = [f"sales_roll_mean_{n}" for n in PANEL_ROLLS]
-    rolls = {c: rounded(F.col(c) + OFF_HALF, 3) for c in names}
+    rolls = {c: rounded(F.col(c), 3) for c in names}
     return shown(panel.frame().withColumns(rolls))

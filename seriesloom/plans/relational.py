@@ -437,7 +437,7 @@ def calendar_stats(spark, folder):
 @query(
     "value_group_stats",
     f"""WITH {MERCHANT}
-SELECT merchant, transactions, CAST(month(ts) AS INTEGER) AS month, {_stats_sql('paid', 'sum mean median std', 6)}
+SELECT merchant, transactions, CAST(month(ts) AS INTEGER) AS month, {_stats_sql('paid', 'sum mean median std')}
 FROM merchant_panel GROUP BY 1, 2, 3""",
 )
 def value_group_stats(spark, folder):
@@ -445,8 +445,7 @@ def value_group_stats(spark, folder):
     return shown(
         summarize.group_statistics(
             df, ["merchant", "transactions", "month"], {"paid": ["sum", "mean", "median", "std"]}
-        ),
-        6,
+        )
     )
 
 
