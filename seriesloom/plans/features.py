@@ -116,7 +116,7 @@ def _with_coarse(panel: Panel, columns: list[str]):
     return shown(panel.frame().withColumns({c: rounded(F.col(c), 2) for c in columns}))
 
 
-def _ewm_sql(alphas, lags, names, digits: int = 3) -> str:
+def _ewm_sql(alphas, lags, names, digits: int = 2) -> str:
     """The recurrence itself, row by row, and then offsets of its result."""
     grid = ", ".join(f"({a})" for a in alphas)
     shifted = ", ".join(
@@ -146,7 +146,7 @@ PREVIEW_ALPHAS = (0.99, 0.95, 0.7, 0.1)
 
 @query("ewm", _ewm_sql(PREVIEW_ALPHAS, (1,), lambda a, k: f"ewm{alpha_text(a)}"))
 def ewm(spark, folder):
-    return shown(windows.ewm_means(dense_sales(spark, folder), PREVIEW_ALPHAS).frame(), 3)
+    return shown(windows.ewm_means(dense_sales(spark, folder), PREVIEW_ALPHAS).frame(), 2)
 
 
 @query(
@@ -154,7 +154,7 @@ def ewm(spark, folder):
     _ewm_sql(ALPHAS, EWM_LAGS, lambda a, k: f"sales_ewm_alpha_{alpha_text(a)}_lag_{k}"),
 )
 def ewm_features(spark, folder):
-    return shown(windows.ewm_features(dense_sales(spark, folder), ALPHAS, EWM_LAGS).frame(), 3)
+    return shown(windows.ewm_features(dense_sales(spark, folder), ALPHAS, EWM_LAGS).frame(), 2)
 
 
 @query(
