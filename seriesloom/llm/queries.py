@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idfiles, packing
+from . import idfiles, minhash, packing
 from .encoding import tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+OP2_SQL = """WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+e AS (SELECT doc_id, unnest(s) AS g FROM s),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+edges AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  WITH RECURSIVE r(a, b) AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM r JOIN edges e ON e.a = r.b) SELECT a, min(b) AS b FROM r GROUP BY 1)
+SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(r.b, n.doc_id)) AS component_id,
+  n.doc_id = least(n.doc_id, coalesce(r.b, n.doc_id)) AS kept
+FROM n LEFT JOIN reach r ON r.a = n.doc_id"""
+
+
+@query("op2_minhash", OP2_SQL)
+def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op7_packing")
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))

@@ -16,7 +16,6 @@ SLICE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
-_MASK = (1 << 64) - 1
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -103,6 +102,6 @@ def windows(words: np.ndarray, n: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     out = np.zeros(len(words) - n + 1, np.uint64)
     for k in range(n):
-        # Odd factors: the order of the words counts.
-        out += words[k : k + len(out)] * np.uint64((0xD6E8FEB86659FD93 * (2 * k + 1) | 1) & _MASK)
-    return mix(out)
+        # Mixed after each word, so that order counts and sums of words don't meet.
+        out = mix(out + words[k : k + len(out)])
+    return out
