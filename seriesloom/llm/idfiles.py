@@ -45,7 +45,7 @@ def _open(uri: str, write: bool = False):
     from pyarrow import fs
 
     system, path = fs.FileSystem.from_uri(uri)
-    return system.open_output_stream(path) if write else system.open_input_file(path)
+    return system.open_output_stream(path, compression=None) if write else system.open_input_file(path)
 
 
 def write_bytes(uri: str, data: bytes) -> None:

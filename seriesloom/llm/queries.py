@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idfiles, minhash, packing
+from . import idfiles, minhash, packing, warc
 from .encoding import tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+OP1_SQL = """WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (
+  SELECT page_id, html, array_to_string(list_transform(range(8), lambda j: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + ((('0x' || h[5 * j + 1:5 * j + 5])::BIGINT >> s) & 31)]), '')), '') AS digest FROM p),
+f AS (SELECT digest, min(page_id) AS first FROM d GROUP BY 1)
+SELECT page_id, strlen(html) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d JOIN f USING (digest)"""
+
+
+@query("op1_warc", OP1_SQL)
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    index = warc.write(table(spark, folder, "pages"), idfiles.new_folder(spark))
+    return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 OP2_SQL = """WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
