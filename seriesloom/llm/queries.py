@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idfiles, lm, minhash, packing, warc
+from . import fingerprints, idfiles, lm, minhash, packing, warc
 from .encoding import tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,11 @@ def op3_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.scored(table(spark, folder, "documents"))
 
 
+@query("op6_fingerprints")
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edits(table(spark, folder, "documents"))
+
+
 @query("op7_packing")
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
