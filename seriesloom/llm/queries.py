@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, idfiles, lm, minhash, packing, warc
+from . import fingerprints, idfiles, lm, minhash, packing, quality, warc
 from .encoding import tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,11 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+@query("op9_quality")
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op10_idfiles")
 def op10_idfiles(spark: SparkSession, folder: str) -> DataFrame:
     manifest = idfiles.write(table(spark, folder, "documents"), idfiles.new_folder(spark), tokenizer_path("word_bpe_49k.json"))
