@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprints, idfiles, lm, minhash, packing, quality, warc
+from . import chat, fingerprints, idfiles, licenses, lm, minhash, mixing, packing, quality, warc
 from .encoding import tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +28,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+#: Words of a normalised text, in SQL.
+_BARE = "list_filter(string_split(regexp_replace(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')"
+
 OP1_SQL = """WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 d AS (
@@ -75,6 +83,40 @@ def op3_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.scored(table(spark, folder, "documents"))
 
 
+@query("op4_mixing")
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mixing.mixed(table(spark, folder, "documents"), mixing.Target(repeated=mixing.REPEATED))
+    return rows.select("doc_id", "source", "n_chars", F.col("mix pass").alias("pass"), F.col("mix block").alias("block"))
+
+
+OP5_SQL = f"""WITH t AS (
+  SELECT row_number() OVER () - 1 AS i, name, {_BARE.format('text')} AS w
+  FROM (VALUES {', '.join(f"({_quoted(n)}, {_quoted(t)})" for n, t in licenses.TEMPLATES)}) AS v(name, text)),
+tg AS (SELECT i, name, list_distinct(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) AS g FROM t),
+lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS p, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+  FROM documents
+  UNION ALL SELECT doc_id, text, 0 FROM documents WHERE contains(text, chr(10))),
+words AS (SELECT doc_id, place, {_BARE.format('p')} AS w FROM lines),
+pg AS (
+  SELECT doc_id, place, list_distinct(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) AS g FROM words
+  WHERE len(w) BETWEEN 2 AND 3000),
+hits AS (
+  SELECT doc_id, place, i, name, 2 * len(list_intersect(pg.g, tg.g)) / (len(pg.g) + len(tg.g)) AS dice
+  FROM pg JOIN tg ON len(pg.g) * {200 - licenses.LEAST} >= {licenses.LEAST} * len(tg.g) AND len(tg.g) * {200 - licenses.LEAST} >= {licenses.LEAST} * len(pg.g)
+  WHERE 200 * len(list_intersect(pg.g, tg.g)) >= {licenses.LEAST} * (len(pg.g) + len(tg.g))),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, place = 0, place, i) AS r FROM hits),
+counted AS (SELECT doc_id, count(DISTINCT place) AS n FROM hits GROUP BY 1)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_notices, b.name AS license, b.dice, b.place AS passage
+FROM documents d LEFT JOIN counted c ON c.doc_id = d.doc_id LEFT JOIN best b ON b.doc_id = d.doc_id AND b.r = 1"""
+
+
+@query("op5_licenses", OP5_SQL)
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 @query("op6_fingerprints")
 def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edits(table(spark, folder, "documents"))
@@ -85,6 +127,12 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+@query("op8_chat")
+def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
+    calls, results = chat.as_calls(table(spark, folder, "conversations"))
+    return chat.linked(calls, results, chat.REPLY)
+
+
 @query("op9_quality")
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
