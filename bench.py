@@ -29,7 +29,7 @@ HEADLINE = (
     "tes_grid",
     "final_forecast",
     "arima_best",
-    "sarima_best_mae",
+    "sarima_best",
     "adf_test",
     "gbt_forecast",
 )

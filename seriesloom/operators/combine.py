@@ -140,25 +140,27 @@ def category_values(df: DataFrame, columns: Sequence[str], limit: int = 10_000)
     return values
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], values: dict[str, list] | None = None) -> DataFrame:
-    """Replace each column by 0/1 indicators named column_value, in value order.
+def one_hot(
+    df: DataFrame, columns: Sequence[str], values: dict[str, list] | None = None, keep: bool = False, limit: int = 10_000
+) -> DataFrame:
+    """Replace each column by 0/1 indicators named column_value, in value order; ``keep`` leaves it as well.
 
     Pass ``values`` learned on a training table to give another table the same
     columns. A missing value sets no indicator.
     """
-    values = values or category_values(df, columns)
+    values = values or category_values(df, columns, limit)
     types = dict(df.dtypes)
     indicators: list[Column] = [
         F.coalesce((F.col(c) == F.lit(v).cast(types[c])).cast("int"), F.lit(0)).alias(f"{c}_{v}")
         for c in columns
         for v in values[c]
     ]
-    return df.select(*[c for c in df.columns if c not in columns], *indicators)
+    return df.select(*[c for c in df.columns if keep or c not in columns], *indicators)
 
 
 def submission(scored: DataFrame, id_column: str, prediction: Column, name: str) -> DataFrame:
-    """Integer id and prediction: the table handed in."""
-    return scored.select(F.col(id_column).cast("int").alias(id_column), prediction.alias(name))
+    """64-bit id and prediction: the table handed in."""
+    return scored.select(F.col(id_column).cast("bigint").alias(id_column), prediction.alias(name))
 
 
 def previous_rows(panel: Panel, lags: Sequence[int]) -> DataFrame:

@@ -64,12 +64,12 @@ class Grid:
 
 
 def pick_best(scored: DataFrame, keys: Sequence[str], metric: str, params: Sequence[str]) -> DataFrame:
-    """Per series the parameters of the smallest metric; the first grid point wins a tie."""
-    order = F.struct(F.round(metric, TIE_DIGITS), F.col("grid_id"))
+    """Per series the parameters of the smallest metric; the first grid point wins a tie.
+
+    ``status`` is "ok", or tells that no grid point had a number; the rest is then NULL.
+    """
+    usable = F.col(metric).isNotNull() & ~F.isnan(metric)
+    order = F.when(usable, F.struct(F.round(metric, TIE_DIGITS), F.col("grid_id")))
     best = F.min_by(F.struct("grid_id", *params, metric), order)
-    return (
-        scored.where(F.col(metric).isNotNull() & ~F.isnan(metric))
-        .groupBy(*keys)
-        .agg(best.alias("_best"))
-        .select(*keys, "_best.*")
-    )
+    status = F.when(F.col("_best").isNull(), "no usable error").otherwise("ok").alias("status")
+    return scored.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*", status)

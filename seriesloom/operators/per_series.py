@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..panel import Panel
@@ -45,7 +46,7 @@ def transform_series(panel: Panel, fn: Callable[[pd.Series], pd.Series], into: s
 
     The open form, for what the native window operators do not offer. A series
     has to fit in one task, so the time column must be a DATE, whose calendar
-    bounds its length.
+    bounds its length. Rows without a key come back with NULL.
     """
     if not panel.calendar_bound:
         raise TypeError("a series-at-a-time function needs a DATE time column")
@@ -58,4 +59,8 @@ def transform_series(panel: Panel, fn: Callable[[pd.Series], pd.Series], into: s
         ordered[into] = fn(ordered[y]).to_numpy(dtype="float64")
         return ordered
 
-    return panel.with_df(df.groupBy(*panel.keys).applyInPandas(run, schema))
+    done = df.groupBy(*panel.keys).applyInPandas(run, schema)
+    if panel.null_keys:
+        rest = panel.df.where(~panel.has_key).withColumn(into, F.lit(None).cast("double"))
+        done = done.unionByName(rest)
+    return panel.with_df(done)

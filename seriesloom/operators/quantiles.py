@@ -20,6 +20,8 @@ from .skew import salted_join
 BUCKETS = 16384
 # Rows of one bucket that a single task may sort; a bucket with more is split again.
 SORTED_ROWS = 1_000_000
+#: Ranges too narrow to be split any further.
+LEAST_SPAN = 1e-290
 Join = Callable[[DataFrame, DataFrame, list[str]], DataFrame]
 
 
@@ -50,7 +52,7 @@ def _limits(low: Column, high: Column) -> list[Column]:
 
 
 def _bucket() -> Column:
-    """A bucket number that never falls as the value rises.
+    """A bucket number that never falls as the value rises; infinities have the first and the last one.
 
     It is the sum of an even split and a split on a log scale. Each of the two is
     monotone, so the sum is too, and it changes wherever one of them does: flat
@@ -59,7 +61,12 @@ def _bucket() -> Column:
     width = F.col("value") - F.col("_low")
     even = (width * F.col("_even")).cast("long")
     tail = (F.log1p(width) * F.col("_tail")).cast("long")
-    return even + tail
+    infinite = F.lit(float("inf"))
+    return F.when(F.col("value") == infinite, F.lit(1 << 62)).when(F.col("value") == -infinite, F.lit(-1)).otherwise(F.coalesce(even + tail, F.lit(0)))
+
+
+def _finite(value: Column) -> Column:
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def _targets(total: Column, probs: Sequence[float]) -> Column:
@@ -108,8 +115,8 @@ def _narrow(rows: DataFrame, cells: DataFrame, key: list[str], name: str, join:
         .agg(
             F.sum("n").alias("_n"),
             F.count("*").alias("_rows"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
+            F.min(_finite(F.col("value"))).alias("low"),
+            F.max(_finite(F.col("value"))).alias("high"),
         )
         .withColumn("_end", F.sum("_n").over(running))
     )
@@ -125,7 +132,7 @@ def _narrow(rows: DataFrame, cells: DataFrame, key: list[str], name: str, join:
             F.col("_begin").alias("_offset"),
             "_targets",
             *_limits(F.col("low"), F.col("high")),
-            ((F.col("_rows") > SORTED_ROWS) & (F.col("low") < F.col("high"))).alias("_large"),
+            (F.coalesce(F.col("high") - F.col("low") > LEAST_SPAN, F.lit(False)) & (F.col("_rows") > SORTED_ROWS)).alias("_large"),
         )
     )
     return join(tagged, placed.select(*key, name), [*key, name]), placed
@@ -143,11 +150,14 @@ def _read_off(rows: DataFrame, cells: DataFrame, key: list[str], group: list[str
     lower = F.max(F.when(_inside(F.col("_t.lower")), F.col("value")))
     upper = F.max(F.when(_inside(F.col("_t.upper")), F.col("value")))
     share = F.max(F.col("_t.place") - F.col("_t.lower"))
+    # No difference of infinities where there is nothing to interpolate.
+    plain = (F.col("_lo") == F.col("_hi")) | (F.col("_share") == 0)
+    between = F.when(plain, F.col("_lo")).otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_share"))
     return (
         ranked.where(_inside(F.col("_t.lower")) | _inside(F.col("_t.upper")))
         .groupBy(*group, F.col("_t.prob").alias("prob"))
         .agg(lower.alias("_lo"), upper.alias("_hi"), share.alias("_share"))
-        .select(*group, "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_share")).alias("value"))
+        .select(*group, "prob", between.alias("value"))
     )
 
 
@@ -174,7 +184,7 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[
     """
     group = [*by, "column"]
     ends = counts.groupBy(*group).agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total")
+        F.min(_finite(F.col("value"))).alias("low"), F.max(_finite(F.col("value"))).alias("high"), F.sum("n").alias("total")
     )
     cells = _whole(ends, group, probs)
 
@@ -197,7 +207,7 @@ def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")
         v = F.when(~F.isnan(v), v)
-        facts += [F.min(v).alias(f"low{i}"), F.max(v).alias(f"high{i}"), F.count(v).alias(f"total{i}")]
+        facts += [F.min(_finite(v)).alias(f"low{i}"), F.max(_finite(v)).alias(f"high{i}"), F.count(v).alias(f"total{i}")]
     per_column = F.array(
         *[
             F.struct(

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from ..panel import Panel
 from .grid import TIE_DIGITS, Grid, pick_best
-from .smoothing_lanes import BLOCK_LANES, holdout_errors
+from .smoothing_lanes import BLOCK_CELLS, BLOCK_LANES, forecasts, holdout_errors
 
 METHODS = ("single", "double", "triple", "triple_mul")
 
@@ -61,12 +61,15 @@ def series_arrays(panel: Panel) -> DataFrame:
 
 
 def split_last(arrays: DataFrame, horizon: int) -> DataFrame:
-    """Add ``train`` and ``test`` arrays: the last ``horizon`` values are held out."""
-    n = F.size("y")
-    return arrays.where(n > horizon).withColumns(
+    """Add ``train`` and ``test`` arrays: the last ``horizon`` values are held out.
+
+    A series that has nothing left to train on stays, with NULL for both.
+    """
+    n, long = F.size("y"), F.size("y") > horizon
+    return arrays.withColumns(
         {
-            "train": F.slice("y", F.lit(1), n - horizon),
-            "test": F.slice("y", n - horizon + 1, F.lit(horizon)),
+            "train": F.when(long, F.slice("y", F.lit(1), F.greatest(n - horizon, F.lit(0)))),
+            "test": F.when(long, F.slice("y", F.greatest(n - horizon, F.lit(0)) + 1, F.lit(horizon))),
         }
     )
 
@@ -245,7 +248,7 @@ def _ahead(method: str, state: Column, k: Column, period: int) -> Column:
 def grid_errors(
     train: Column, test: Column, method: str, grid: Grid, init: str = "simple", period: int = 12
 ) -> Column:
-    """Array of holdout errors in grid order; NULL where a grid point gives no number."""
+    """Array of holdout errors in grid order; NULL where a grid point gives no number or nothing is held out."""
     if method not in METHODS or init not in ("simple", "ls"):
         raise ValueError(f"unknown method {method!r} or init {init!r}")
     if init == "ls" and method == "triple_mul":
@@ -254,11 +257,11 @@ def grid_errors(
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def errors(trains: pd.Series, tests: pd.Series) -> pd.Series:
-        block = max(1, BLOCK_LANES // grid.size)
-        out = [None] * len(trains)
-        lengths = trains.map(len).to_numpy()
-        for n in np.unique(lengths):
+        out = [[None] * grid.size] * len(trains)
+        lengths = np.array([-1 if t is None else len(t) for t in trains])
+        for n in np.unique(lengths[lengths >= 0]):
             (rows,) = np.nonzero(lengths == n)
+            block = max(1, min(BLOCK_LANES, BLOCK_CELLS // max(1, n)) // grid.size)
             for some in np.array_split(rows, -(-len(rows) // block)):
                 scored = holdout_errors(
                     method, np.stack(trains.iloc[some]), np.stack(tests.iloc[some]), params, init, period
@@ -398,11 +401,14 @@ def search_and_forecast(
     horizon: int,
     init: str = "simple",
     period: int = 12,
+    default: float = 0.5,
 ) -> DataFrame:
     """Choose weights on the holdout, refit on the whole series, forecast on.
 
     Everything happens on the row of the series: the best grid point is the least
-    (error, grid number) of its own scores, so nothing is joined or shuffled.
+    (error, grid number) of its own scores, so nothing is joined or shuffled. A
+    series without a usable error gets the ``default`` weights; its forecasts are
+    NULL only where the method needs more values than it has.
     """
     errors = grid_errors(F.col("train"), F.col("test"), method, grid, init, period)
     tried = split.withColumn("_errors", errors)
@@ -411,5 +417,26 @@ def search_and_forecast(
         usable, lambda s: F.struct(F.round(s["mae"], TIE_DIGITS), s["grid_id"], s.alias("point"))
     )
     best = tried.withColumn("_best", F.array_min(ranked))
-    params = {n: F.col("_best.point")[n] for n in grid.axes}
-    return forecast(best, keys, method, horizon, params, "simple" if method.startswith("triple") else init, period)
+    params = {n: F.coalesce(F.col("_best.point")[n], F.lit(default)) for n in grid.axes}
+    if init == "ls" and method == "triple":
+        return _forecast_from_least_squares(best, keys, horizon, params, period)
+    return forecast(best, keys, method, horizon, params, init, period)
+
+
+def _forecast_from_least_squares(
+    arrays: DataFrame, keys: list[str], horizon: int, params: Mapping[str, Column], period: int, step: str = "1 month"
+) -> DataFrame:
+    """Forecasts of the additive triple form from the start with the least squared errors."""
+    names = [*params]
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def ahead(ys: pd.Series, points: pd.DataFrame) -> pd.Series:
+        found = [forecasts("triple", np.asarray(y), dict(zip(names, p)), horizon, period) for y, p in zip(ys, points[names].to_numpy())]
+        return pd.Series([None if f is None else [float(v) for v in f] for f in found], dtype=object)
+
+    weights = F.struct(*[c.alias(n) for n, c in params.items()])
+    rows = arrays.select(*keys, "first_ts", F.size("y").alias("_n"), ahead(F.col("y"), weights).alias("_f"))
+    rows = rows.select(*keys, "first_ts", "_n", "_f", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
+    moved = F.col("_n") + F.col("step") - 1
+    date = F.add_months("first_ts", moved) if step.split()[1].startswith("month") else F.date_add("first_ts", moved)
+    return rows.select(*keys, "step", date.alias("ts"), F.get("_f", F.col("step") - 1).alias("prediction"))

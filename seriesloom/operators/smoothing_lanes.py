@@ -13,7 +13,8 @@ from collections.abc import Mapping
 
 import numpy as np
 
-BLOCK_LANES = 32768
+#: Lanes worked through at once, and lanes times steps where errors are kept.
+BLOCK_LANES, BLOCK_CELLS = 32_768, 8_000_000
 
 
 def _advance(method, state, v, t, p):
@@ -45,13 +46,15 @@ def _advance(method, state, v, t, p):
     return seen
 
 
-def _run(method, y, state, p):
-    """Fold values (series, time) over lanes (series, grid); errors are (time, series, grid)."""
+def _run(method, y, state, p, keep=True):
+    """Fold values (series, time) over lanes (series, grid); the errors, if kept, are (time, series, grid)."""
     errors = []
     for t in range(y.shape[1]):
         v = y[:, t, None]
-        errors.append(v - _advance(method, state, v, t, p))
-    return np.stack(errors)
+        seen = _advance(method, state, v, t, p)
+        if keep:
+            errors.append(v - seen)
+    return np.stack(errors) if keep else None
 
 
 def _simple_start(method, y, lanes, period):
@@ -135,7 +138,16 @@ def holdout_errors(
             final = _least_squares_state(method, train, params, points, period)
         else:
             state = _simple_start(method, train, (len(train), points), period)
-            _run(method, train, state, params)
+            _run(method, train, state, params, keep=False)
             final = _entries(state)
         gaps = [np.abs(test[:, k - 1, None] - _ahead(method, final, n, k, period)) for k in range(1, test.shape[1] + 1)]
         return np.mean(gaps, axis=0)
+
+
+def forecasts(method: str, y: np.ndarray, params: Mapping[str, float], horizon: int, period: int) -> np.ndarray | None:
+    """The next values of one series, from the start with the least squared errors; None if it is too short."""
+    if len(y) < {"single": 1, "double": 2}.get(method, 2 * period):
+        return None
+    points = {n: np.array([v]) for n, v in params.items()}
+    final = _least_squares_state(method, y[None, :], points, 1, period)
+    return np.array([_ahead(method, final, len(y), k, period)[0, 0] for k in range(1, horizon + 1)])

@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 NULL_SPREAD = "_null_spread"
 
 
+#: Periods of which a calendar has few enough for one task to hold a series.
+BOUNDED = ("day", "week", "month", "quarter", "year", "hour")
+
+
 @dataclass(frozen=True)
 class Panel:
     """Any number of series in one table.
@@ -70,7 +74,7 @@ class Panel:
             *[F.col(source).alias(name) for name, source in names.items()],
             moment.alias(ts_name),
         ).agg(*[expr.alias(name) for name, expr in measures.items()])
-        return cls(df, tuple(names), ts_name, y or next(iter(measures)), null_keys=False, bounded=True)
+        return cls(df, tuple(names), ts_name, y or next(iter(measures)), null_keys=False, bounded=period in BOUNDED)
 
     def with_df(self, df: DataFrame) -> Panel:
         return replace(self, df=df)

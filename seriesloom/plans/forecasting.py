@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import smoothing
+from ..operators import smoothing, windows
 from ..operators.grid import Grid, float_range
+from ..sources import tables
 from .features import monthly_panel
 from .registry import MONTHLY, day, num, query, shown
 
@@ -192,7 +193,7 @@ def _register_best(name: str, method: str, grid: Grid) -> None:
     @query(
         name,
         grid_sql(method, grid)
-        + f", {best_cte(grid)}\nSELECT supplier, grid_id, {shown_params(grid)}, {num('mae')} FROM best",
+        + f", {best_cte(grid)}\nSELECT supplier, grid_id, {shown_params(grid)}, {num('mae')}, 'ok' AS status FROM best",
     )
     def run(spark, folder):
         return shown(smoothing.grid_best(split(spark, folder), KEYS, method, grid))
@@ -240,6 +241,53 @@ def final_forecast(spark, folder):
     return shown(smoothing.search_and_forecast(split(spark, folder), KEYS, "triple", TES_GRID, AHEAD))
 
 
+# --- series of any length: monthly orders of every customer --------------------
+
+CUSTOMER_MONTHLY = (
+    MONTHLY.replace("lineitem", "orders").replace("l_suppkey", "o_custkey").replace("l_shipdate", "o_orderdate").replace("l_quantity", "o_totalprice")
+)
+
+
+def customer_split(spark, folder):
+    spine = windows.calendar_spine(tables.monthly_orders(spark, folder), "month")
+    return smoothing.split_last(smoothing.series_arrays(windows.backward_fill(spine)), HOLDOUT)
+
+
+def _customers(sql: str) -> str:
+    return sql.replace(MONTHLY, CUSTOMER_MONTHLY)
+
+
+@query(
+    "short_best",
+    _customers(grid_sql("single", SES_GRID))
+    + f""", {best_cte(SES_GRID)}, customers AS (SELECT DISTINCT supplier FROM monthly)
+SELECT c.supplier, grid_id, {shown_params(SES_GRID)}, {num('mae')},
+  CASE WHEN mae IS NULL THEN 'no usable error' ELSE 'ok' END AS status
+FROM customers c LEFT JOIN best b ON b.supplier = c.supplier""",
+)
+def short_best(spark, folder):
+    """The best weight of every customer's monthly orders; those of a year or less have none."""
+    return shown(smoothing.grid_best(customer_split(spark, folder), KEYS, "single", SES_GRID))
+
+
+@query(
+    "short_forecast",
+    _customers(grid_sql("single", SES_GRID))
+    + f""", {best_cte(SES_GRID)},
+weights AS (SELECT c.supplier, coalesce(b.alpha, 0.5) AS alpha, 0 AS grid_id FROM (SELECT DISTINCT supplier FROM monthly) c LEFT JOIN best b ON b.supplier = c.supplier),
+"""
+    + fold_cte("single", "m.n", start="monthly m JOIN weights g ON g.supplier = m.supplier").replace("fold AS (", "refit AS (", 1).replace("FROM fold f", "FROM refit f")
+    + f""",
+ends AS (SELECT supplier, max(ts) AS last_ts FROM monthly GROUP BY supplier)
+SELECT f.supplier, CAST(k AS INTEGER) AS step, {day('e.last_ts + to_months(CAST(k AS INTEGER))', 'ts')}, {num('f.l', 'prediction')}
+FROM refit f JOIN ends e ON e.supplier = f.supplier CROSS JOIN range(1, {AHEAD + 1}) r(k)
+WHERE f.rn = f.n""",
+)
+def short_forecast(spark, folder):
+    """Forecasts for every customer: best weight where there is a holdout, the default one elsewhere."""
+    return shown(smoothing.search_and_forecast(customer_split(spark, folder), KEYS, "single", SES_GRID, AHEAD))
+
+
 @query(
     "model_params",
     f"""WITH RECURSIVE {MONTHLY}, {fixed_cte('alpha beta gamma')}, {fold_cte('triple', 'm.n')},

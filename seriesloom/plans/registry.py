@@ -12,7 +12,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 DIGITS = 4
-CUT = 0.4371
+#: Further digits of the first of two roundings.
+GUARD = 4
+#: From here on doubles are whole numbers.
+WHOLE = 9e15
 
 
 def query(name: str, sql: str | None = None):
@@ -30,12 +33,17 @@ def query(name: str, sql: str | None = None):
 
 
 def rounded(c: Column, digits: int = DIGITS) -> Column:
-    """Round by plain arithmetic, which is cheaper than the decimal detour of ``round``.
+    """Round a double, which stays one: NaN, infinities and values without a fraction are kept.
 
     Means of a few decimals often end in an exact half, where the last bit of a sum
-    decides. The cut lies a little off the half, so that two engines cut alike.
+    decides. Where a double has the digits, rounding to a few more of them first
+    clears that bit in both engines.
     """
-    return F.floor(c * F.lit(10.0**digits) + F.lit(CUT)) / F.lit(10.0**digits)
+    fine, coarse = 10.0 ** (digits + GUARD), 10.0**digits
+    once = F.round(F.round(c * F.lit(fine)) / F.lit(fine) * F.lit(coarse)) / F.lit(coarse)
+    size = F.abs(c)
+    near = F.when(size < WHOLE / fine, once).when(size < WHOLE / coarse, F.round(c * F.lit(coarse)) / F.lit(coarse))
+    return near.otherwise(c) + F.lit(0.0)
 
 
 def shown(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -55,7 +63,11 @@ def shown(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 def num(expr: str, name: str | None = None, digits: int = DIGITS) -> str:
     """SQL counterpart of the rounding in :func:`shown`."""
-    return f"floor(CAST({expr} AS DOUBLE) * 1e{digits} + {CUT}) / 1e{digits} AS {name or expr}"
+    x, fine, coarse = f"CAST({expr} AS DOUBLE)", f"1e{digits + GUARD}", f"1e{digits}"
+    return (
+        f"CASE WHEN abs({x}) < {WHOLE} / {fine} THEN round(round({x} * {fine}) / {fine} * {coarse}) / {coarse}"
+        f" WHEN abs({x}) < {WHOLE} / {coarse} THEN round({x} * {coarse}) / {coarse} ELSE {x} END + CAST(0 AS DOUBLE) AS {name or expr}"
+    )
 
 
 def day(expr: str = "ts", name: str | None = None) -> str:

@@ -223,7 +223,7 @@ def log_target(spark, folder):
     "submission",
     f"""WITH {SALES}, lagged AS (
   SELECT priority, ts, lag(sales, 91) OVER (PARTITION BY priority ORDER BY ts) AS p FROM sales_panel)
-SELECT CAST((year(ts) * 10000 + month(ts) * 100 + day(ts)) * 10 + CAST(priority[1] AS INTEGER) AS INTEGER) AS id,
+SELECT CAST((year(ts) * 10000 + month(ts) * 100 + day(ts)) * 10 + CAST(priority[1] AS INTEGER) AS BIGINT) AS id,
        {num('p', 'sales')}
 FROM lagged WHERE p IS NOT NULL""",
 )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..operators import arima, smoothing, stationarity, windows
+from ..operators import orders as order_search
+from ..operators import smoothing, stationarity, windows
 from ..operators.decompose import decompose
 from ..operators.grid import Grid
 from ..panel import Panel
@@ -30,7 +31,7 @@ def study(
     horizon: int,
     ahead: int,
     grids: Mapping[str, Grid],
-    orders: Grid | None = None,
+    orders: Sequence[tuple[int, int, int, int]] | None = None,
     init: str = "simple",
     period: int = 12,
     every: str = "month",
@@ -48,6 +49,6 @@ def study(
         stationarity=stationarity.adf_test(split, keys),
         components=decompose(filled, period),
         methods=smoothing.compare_methods(split, keys, grids, init, period),
-        orders=arima.order_scores(split, keys, orders or arima.sarima_grid(2), period),
+        orders=order_search.order_scores(filled, orders or order_search.sarima_orders(2), horizon, period),
         forecast=smoothing.search_and_forecast(split, keys, method, grid, ahead, init, period),
     )

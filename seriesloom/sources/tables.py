@@ -64,6 +64,17 @@ def monthly_shipments(spark: SparkSession, folder: str) -> Panel:
     )
 
 
+def monthly_orders(spark: SparkSession, folder: str) -> Panel:
+    """Monthly order value per customer (named like the suppliers' panel): series of very different lengths."""
+    return Panel.aggregate(
+        table(spark, folder, "orders"),
+        {"supplier": "o_custkey"},
+        "o_orderdate",
+        {"sales": F.sum("o_totalprice")},
+        period="month",
+    )
+
+
 def hourly_events(spark: SparkSession, folder: str) -> DataFrame:
     """Raw event values: an irregular source for resampling."""
     return table(spark, folder, "events").select("event_type", "ts", "event_id", "value")

@@ -9,9 +9,9 @@ from golden import PASSENGERS
 from pyspark.sql import functions as F
 
 from seriesloom import Panel
-from seriesloom.operators import arima, smoothing, stationarity
+from seriesloom.operators import orders, smoothing, stationarity
 from seriesloom.operators.grid import Grid, float_range, pick_best
-from seriesloom.operators.smoothing_lanes import holdout_errors
+from seriesloom.operators.smoothing_lanes import forecasts, holdout_errors
 from seriesloom.plans.univariate import study
 
 KEYS = ["k"]
@@ -172,8 +172,33 @@ def test_series_too_short_for_a_season_gives_nothing(spark):
     split = smoothing.split_last(arrays, 12)
     grid = Grid({n: [0.5] for n in ("alpha", "beta", "gamma")})
     assert smoothing.grid_scores(split, KEYS, "triple", grid).first()["mae"] is None
-    assert smoothing.grid_best(split, KEYS, "triple", grid).count() == 0
-    assert smoothing.split_last(arrays, 30).count() == 0
+    best = smoothing.grid_best(split, KEYS, "triple", grid).first()
+    assert (best["k"], best["grid_id"], best["mae"], best["status"]) == ("a", None, None, "no usable error")
+    row = smoothing.split_last(arrays, 30).first()
+    assert row["train"] is None and row["test"] is None and len(row["y"]) == 30
+
+
+def test_short_series_stay_in_searches_and_forecasts(spark):
+    split = smoothing.split_last(smoothing.series_arrays(panel_of(spark, {"long": range(1, 37), "short": range(1, 9), "one": [5]})), 12)
+    grid = Grid({"alpha": [0.2, 0.8]})
+    assert smoothing.grid_scores(split, KEYS, "single", grid).count() == 6
+    best = {r["k"]: r["status"] for r in smoothing.grid_best(split, KEYS, "single", grid).collect()}
+    assert best == {"long": "ok", "short": "no usable error", "one": "no usable error"}
+    assert smoothing.compare_methods(split, KEYS, {"single": grid}).count() == 3
+    ahead = smoothing.search_and_forecast(split, KEYS, "single", grid, 2).collect()
+    assert len(ahead) == 6 and all(r["prediction"] is not None for r in ahead)
+    assert {r["prediction"] for r in ahead if r["k"] == "one"} == {5.0}
+
+
+def test_refit_starts_as_the_search_did(spark, air):
+    grid = Grid({"alpha": [0.3], "beta": [0.3], "gamma": [0.5]})
+    y = np.array(PASSENGERS, dtype=float)
+    want = forecasts("triple", y, {"alpha": 0.3, "beta": 0.3, "gamma": 0.5}, 3, 12)
+    rows = smoothing.search_and_forecast(air, KEYS, "triple", grid, 3, "ls").orderBy("step").collect()
+    assert [r["prediction"] for r in rows] == pytest.approx(list(want))
+    # The same start by the holdout path: its errors are those of the same recurrence.
+    error = np.mean(np.abs(y[120:] - forecasts("triple", y[:120], {"alpha": 0.3, "beta": 0.3, "gamma": 0.5}, 24, 12)))
+    assert smoothing.grid_scores(air, KEYS, "triple", grid, "ls").first()["mae"] == pytest.approx(error)
 
 
 def test_arrays_need_dates(spark, air):
@@ -211,75 +236,45 @@ def test_the_first_of_equal_errors_wins(spark):
     rows = [("s", 7, 0.7, 0.5), ("s", 3, 0.3, 0.5 + 1e-15), ("s", 9, 0.9, 0.6), ("s", 1, 0.1, None), ("t", 2, 0.2, None)]
     scored = spark.createDataFrame(rows, "k string, grid_id int, alpha double, mae double")
     got = pick_best(scored, KEYS, "mae", ["alpha"]).collect()
-    assert [(r["k"], r["grid_id"], r["alpha"]) for r in got] == [("s", 3, 0.3)]
+    assert sorted((r["k"], r["grid_id"], r["alpha"], r["status"]) for r in got) == [("s", 3, 0.3, "ok"), ("t", None, None, "no usable error")]
 
 
 # --- orders -------------------------------------------------------------------------
 
 
-def simulated(n=3000, seed=1, ar=0.6, ma=0.4, mean=5.0):
-    e = np.random.default_rng(seed).normal(size=n)
-    x = np.zeros(n)
-    for i in range(1, n):
-        x[i] = ar * x[i - 1] + e[i] + ma * e[i - 1]
-    return x + mean
-
-
-def test_weights_of_a_known_process():
-    theta = arima.fit(simulated(), 1, 0, 1)["theta"]
-    assert theta[:2] == pytest.approx([0.6, 0.4], abs=0.06)
-    assert theta[2] == pytest.approx(5.0, abs=0.5)
-
-
-def test_pure_autoregression_is_a_regression():
-    y = simulated(400, ma=0.0)
-    theta = arima.fit(y, 2, 0, 0)["theta"]
-    x = np.column_stack([y[1:-1], y[:-2], np.ones(len(y) - 2)])
-    beta = np.linalg.lstsq(x, y[2:], rcond=None)[0]
-    assert theta[:2] == pytest.approx(beta[:2], abs=1e-5)
-    assert theta[2] == pytest.approx(beta[2] / (1 - beta[0] - beta[1]), rel=1e-4)
-
-
-def test_residuals_equal_a_loop():
-    w = np.random.default_rng(2).normal(size=80)
-    phi, theta, sphi, stheta = 0.5, -0.3, 0.2, 0.4
-    got = arima._residuals(w, np.array([[phi, theta, sphi, stheta]]), (1, 1, 1, 1), 12, False)[:, 0]
-    e = {}
-    for t in range(13, 80):
-        ar = phi * w[t - 1] + sphi * w[t - 12] - phi * sphi * w[t - 13]
-        ma = theta * e.get(t - 1, 0) + stheta * e.get(t - 12, 0) + theta * stheta * e.get(t - 13, 0)
-        e[t] = w[t] - ar - ma
-    assert got == pytest.approx([e[t] for t in range(13, 80)])
-
-
-def test_forecasts_of_simple_orders():
-    y = np.array([3.0, 5.0, 6.0, 8.0, 11.0, 12.0, 15.0, 17.0])
-    assert arima.predict(y, arima.fit(y, 0, 1, 0), 3) == pytest.approx([17.0] * 3)
-    assert arima.predict(y, arima.fit(y, 0, 2, 0), 3) == pytest.approx([19.0, 21.0, 23.0])
-    assert arima.predict(y, arima.fit(y, 0, 0, 0), 2) == pytest.approx([y.mean()] * 2)
-    season = np.tile(np.arange(12.0), 4) + np.repeat(np.arange(4.0), 12) + np.random.default_rng(0).normal(size=48) * 1e-3
-    ahead = arima.predict(season, arima.fit(season, 0, 0, 0, 0, 1, 0), 12)
-    assert ahead == pytest.approx(season[-12:])
-
-
-def test_search_near_the_published_seasonal_errors(spark, air):
-    scores = arima.order_scores(air, KEYS, arima.sarima_grid(2))
-    assert scores.count() == 64
-    by_mae = arima.best_order(scores, KEYS, arima.sarima_grid(2), "mae").first()
-    assert by_mae["mae"] < 32.0
-    best = arima.best_order(scores, KEYS, arima.sarima_grid(2), "aic")
-    ahead = arima.order_forecast(air, best, KEYS, arima.sarima_grid(2), 24, column="train").orderBy("step").collect()
-    mae = np.mean(np.abs(np.array(PASSENGERS[120:]) - [r["prediction"] for r in ahead]))
-    assert mae < 68.58
-    assert ahead[0]["ts"] == month(120)
-
-
-def test_failed_fits_are_rows(spark):
-    split = smoothing.split_last(smoothing.series_arrays(panel_of(spark, {"a": [1, 2, 4, 3, 5, 4, 6]})), 2)
-    scores = arima.order_scores(split, KEYS, arima.arima_grid(4))
-    assert scores.count() == 64
-    failed = scores.where("status <> 'ok'")
-    assert failed.count() > 0 and failed.where("aic is not null").count() == 0
+def regression_aic(y, p, d, sp, sd, period=12):
+    w = np.asarray(y, dtype=float)
+    for _ in range(sd):
+        w = w[period:] - w[:-period]
+    w = np.diff(w, n=d)
+    lags = [*range(1, p + 1), *([period] if sp else [])]
+    first, mean = max(lags, default=0), d + sd == 0
+    n, k = len(w) - first, len(lags) + mean
+    if n <= k + 1:
+        return None
+    x = np.column_stack([*([np.ones(n)] if mean else []), *(w[first - i : len(w) - i] for i in lags), np.zeros(n)])
+    left = w[first:] - x @ np.linalg.lstsq(x, w[first:], rcond=None)[0]
+    return n * np.log(left @ left / n) + 2 * (k + 1)
+
+
+@pytest.mark.parametrize("listed", [orders.arima_orders(4), orders.sarima_orders(2)])
+def test_orders_equal_regressions(spark, listed):
+    series = {"air": [float(v) for v in PASSENGERS], "short": [1.0, 2.0, 4.0, 3.0, 5.0, 4.0, 6.0], "one": [3.0]}
+    rows = orders.order_scores(panel_of(spark, series), listed, holdout=2).collect()
+    assert len(rows) == 3 * len(listed)
+    for r in rows:
+        want = regression_aic(series[r["k"]][:-2], r["p"], r["d"], r["sp"], r["sd"])
+        assert (r["aic"] is None) == (want is None) == (r["status"] != "ok")
+        if want is not None:
+            assert r["aic"] == pytest.approx(want, rel=1e-6, abs=1e-5)
+
+
+def test_best_order_of_every_series(spark):
+    series = {"air": [float(v) for v in PASSENGERS], "one": [3.0]}
+    listed = orders.sarima_orders(2)
+    best = {r["k"]: r for r in orders.best_order(orders.order_scores(panel_of(spark, series), listed, 24), KEYS).collect()}
+    wanted = min(listed, key=lambda o: regression_aic(PASSENGERS[:120], *o))
+    assert tuple(best["air"][n] for n in orders.NAMES) == wanted and best["one"]["status"] == "no usable error"
 
 
 # --- unit roots ----------------------------------------------------------------------
@@ -328,7 +323,7 @@ def test_study_of_a_series_with_a_gap(spark):
         "single": Grid({"alpha": STEP_20}),
         "triple": Grid({"alpha": STEP_20, "beta": STEP_20, "gamma": STEP_20}),
     }
-    found = study(holed, 24, 6, grids, orders=Grid({"p": [0, 1], "d": [1], "q": [0, 1]}))
+    found = study(holed, 24, 6, grids, orders=[(0, 1, 0, 0), (1, 1, 0, 0), (0, 1, 1, 0), (1, 1, 1, 1)])
     assert found.filled.df.count() == 144
     errors = {r["method"]: r["mae"] for r in found.methods.collect()}
     assert errors["triple"] < 20 < errors["single"]

@@ -80,3 +80,22 @@ def test_noise_is_repeatable_and_of_the_set_spread(spark):
     first = df.select(noise(1.6, 3).alias("e"))
     assert first.agg(F.stddev("e")).first()[0] == pytest.approx(1.6, abs=0.05)
     assert [r[0] for r in first.collect()] == [r[0] for r in df.select(noise(1.6, 3)).collect()]
+
+
+def test_shown_values_stay_doubles(spark):
+    from seriesloom.plans.registry import rounded
+
+    values = [2e15, 2e300, float("inf"), float("-inf"), float("nan"), None, 0.15375, 1.00005, -0.00001, -2.34567]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select(rounded(F.col("v")).alias("r"))
+    assert rows.dtypes == [("r", "double")]
+    assert "bigint" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    got = [r["r"] for r in rows.collect()]
+    assert got[:4] == values[:4] and got[4] != got[4] and got[5] is None
+    assert got[6:] == [0.1538, 1.0001, 0.0, -2.3457] and str(got[8]) == "0.0"
+
+
+def test_submission_keeps_long_ids(spark):
+    from seriesloom.operators.combine import submission
+
+    df = spark.createDataFrame([(3_000_000_000, 1.0)], "id long, p double")
+    assert submission(df, "id", F.col("p"), "sales").first()["id"] == 3_000_000_000

@@ -217,3 +217,15 @@ def test_overlays_agree(spark):
     one = combine.overlay_marked(df, ["k", "ts"], "y", "p")
     assert sorted(one.collect()) == sorted(three.select(*one.columns).collect())
     assert one.count() == 7
+
+
+def test_quantiles_of_infinities(spark):
+    from seriesloom.operators.quantiles import exact_quantiles
+
+    inf = float("inf")
+    values = [-inf, 1.0, 2.0, 3.0, inf, None, float("nan"), inf, 4.0]
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", inf)], "k string, v double")
+    got = {(r["k"], r["prob"]): r["value"] for r in exact_quantiles(df, ["v"], [0.0, 0.5, 1.0], ["k"]).collect()}
+    assert got == {("a", 0.0): -inf, ("a", 0.5): 3.0, ("a", 1.0): inf, ("b", 0.0): inf, ("b", 0.5): inf, ("b", 1.0): inf}
+    whole = {r["prob"]: r["value"] for r in exact_quantiles(df, ["v"], [0.0, 0.5]).collect()}
+    assert whole == {0.0: -inf, 0.5: 3.5}
