@@ -16,7 +16,7 @@ import numpy as np
 from .shared import worker_memory
 
 #: Distinct words that a worker remembers; then it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 
 #: Texts encoded at once.
 BATCH = 512

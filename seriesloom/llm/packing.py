@@ -67,13 +67,20 @@ class Projection:
     def __init__(self, hashed: int = HASHED, dimensions: int = DIMENSIONS, bits: int = BITS, seed: int = SEED):
         self.hashed, self.bits = hashed, bits
         self.axes = np.random.default_rng(seed).standard_normal((hashed, dimensions))
+        self.cell, self.sign = np.zeros(0, np.int64), np.zeros(0)
+
+    def _learn(self, size: int) -> None:
+        """Cell and sign of each id below ``size``."""
+        h = np.arange(size, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
+        self.cell = (h % np.uint64(self.hashed)).astype(np.int64)
+        self.sign = 1.0 - 2.0 * (h >> np.uint64(20) & np.uint64(1)).astype(np.float64)
 
     def keys(self, ids: list[np.ndarray]) -> np.ndarray:
-        flat = np.concatenate(ids).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
-        row = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
-        cell = row * self.hashed + (flat % np.uint64(self.hashed)).astype(np.int64)
-        sign = 1.0 - 2.0 * (flat >> np.uint64(20) & np.uint64(1)).astype(np.float64)
-        vectors = np.bincount(cell, sign, len(ids) * self.hashed).reshape(len(ids), self.hashed)
+        flat = np.concatenate(ids)
+        if flat.max() >= len(self.cell):
+            self._learn(int(flat.max()) + 1)
+        row = np.repeat(np.arange(len(ids)) * self.hashed, [len(i) for i in ids])
+        vectors = np.bincount(row + self.cell[flat], self.sign[flat], len(ids) * self.hashed).reshape(len(ids), self.hashed)
         vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
         points = (np.tanh(vectors @ self.axes) + 1) / 2 * (1 << self.bits)
         return hilbert_keys(np.clip(points, 0, (1 << self.bits) - 1).astype(np.int64), self.bits)
