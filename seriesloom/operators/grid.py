@@ -15,8 +15,10 @@ def float_range(start: float, stop: float, step: float) -> list[float]:
     """Values start, start + step, ... below ``stop``."""
     return [start + i * step for i in range(max(0, math.ceil((stop - start) / step)))]
 
-# Errors that agree to this many digits are a tie: sums in another order move the last bits.
-TIE_DIGITS = 9
+
+def tie(error: Column) -> Column:
+    """Errors that agree to seven digits are a tie: sums in another order move the last bits of a double."""
+    return error.cast("float")
 
 
 @dataclass(frozen=True)
@@ -69,7 +71,7 @@ def pick_best(scored: DataFrame, keys: Sequence[str], metric: str, params: Seque
     ``status`` is "ok", or tells that no grid point had a number; the rest is then NULL.
     """
     usable = F.col(metric).isNotNull() & ~F.isnan(metric)
-    order = F.when(usable, F.struct(F.round(metric, TIE_DIGITS), F.col("grid_id")))
+    order = F.when(usable, F.struct(tie(F.col(metric)), F.col("grid_id")))
     best = F.min_by(F.struct("grid_id", *params, metric), order)
     status = F.when(F.col("_best").isNull(), "no usable error").otherwise("ok").alias("status")
     return scored.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*", status)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..panel import Panel
-from .grid import TIE_DIGITS, Grid, pick_best
+from .grid import Grid, pick_best, tie
 from .smoothing_lanes import BLOCK_CELLS, BLOCK_LANES, forecasts, holdout_errors
 
 METHODS = ("single", "double", "triple", "triple_mul")
@@ -414,7 +414,7 @@ def search_and_forecast(
     tried = split.withColumn("_errors", errors)
     usable = F.filter(_scored(F.col("_errors"), grid), lambda s: s["mae"].isNotNull())
     ranked = F.transform(
-        usable, lambda s: F.struct(F.round(s["mae"], TIE_DIGITS), s["grid_id"], s.alias("point"))
+        usable, lambda s: F.struct(tie(s["mae"]), s["grid_id"], s.alias("point"))
     )
     best = tried.withColumn("_best", F.array_min(ranked))
     params = {n: F.coalesce(F.col("_best.point")[n], F.lit(default)) for n in grid.axes}

@@ -221,14 +221,22 @@ def box_statistics(df: DataFrame, by: Sequence[str], y: str, reach: float = 1.5)
     )
 
 
-def _above(limit: int, precision: float) -> float:
-    """Largest distinct estimate that ``limit`` or fewer values can lead to.
+#: Most address bits of Spark's distinct-count sketch.
+SKETCH_BITS = 18
+
+
+def _sketch(limit: int) -> tuple[float, float] | None:
+    """Precision of a distinct-count sketch for a limit, and the largest estimate that many values can lead to.
 
     The estimate counts empty registers: d values fill at most d of m registers,
-    and the estimate m*ln(m/empty) only grows with the number filled.
+    and the estimate m*ln(m/empty) only grows with the number filled. None if no
+    sketch has registers enough.
     """
-    registers = 2 ** math.ceil(2.0 * math.log2(1.106 / precision))
-    return registers * math.log(registers / (registers - limit))
+    bits = max(12, math.ceil(math.log2(4 * max(limit, 1))))
+    if bits > SKETCH_BITS:
+        return None
+    registers = 2**bits
+    return 1.106 / math.sqrt(registers) * (1 + 1e-9), registers * math.log(registers / (registers - limit))
 
 
 def classify_columns(df: DataFrame, few: int = 10, many: int = 20) -> DataFrame:
@@ -240,13 +248,16 @@ def classify_columns(df: DataFrame, few: int = 10, many: int = 20) -> DataFrame:
     Distinct counts are needed only up to ``many``. A first pass keeps a small
     sketch per column; an estimate above what ``many`` values can lead to proves
     the column above the limit. Only the other columns, which have few values,
-    are counted exactly, reading nothing else.
+    are counted exactly, reading nothing else. NaN counts as missing.
     """
-    precision = 0.02
     limit = max(few, many)
-    estimates = df.agg(*[F.approx_count_distinct(c, precision).alias(c) for c in df.columns]).first()
-    bound = _above(limit, precision)
-    unclear = [c for c in df.columns if estimates[c] <= math.ceil(bound)]
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    df = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if c in floats else F.col(c) for c in df.columns])
+    unclear, sketch = df.columns, _sketch(limit)
+    if sketch:
+        precision, bound = sketch
+        estimates = df.agg(*[F.approx_count_distinct(c, precision).alias(c) for c in df.columns]).first()
+        unclear = [c for c in df.columns if estimates[c] <= math.ceil(bound)]
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
 
     def class_of(c: str, distinct: Column) -> Column:

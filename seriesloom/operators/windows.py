@@ -223,14 +223,25 @@ def calendar_spine(panel: Panel, period: str = "day") -> Panel:
     """Every period between the first and last of each series, with NULL where none was measured.
 
     Each row brings the periods up to the next row of its series with it, so the
-    gaps are filled on the partitioning of the window, without a join.
+    gaps are filled on the partitioning of the window, without a join. Rows that
+    do not start a period, and several rows of one period, are errors.
     """
     if period not in ("hour", "day", "week", "month"):
         raise ValueError(f"unknown period {period!r}")
     df = panel.df.where(panel.has_key) if panel.null_keys else panel.df
     step = F.expr(f"interval 1 {period}")
     following = F.lead(panel.ts).over(panel.window())
-    until = F.coalesce(following - step, F.col(panel.ts)).cast(df.schema[panel.ts].dataType)
+    kind = df.schema[panel.ts].dataType
+    start = F.date_trunc(period, panel.ts).cast(kind)
+
+    def error(text: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"{text} {period}: "), F.col(panel.ts).cast("string"))).cast(kind)
+
+    until = (
+        F.when(F.col(panel.ts) != start, error("a row does not start its"))
+        .when(following <= F.col(panel.ts), error("several rows of one"))
+        .otherwise(F.coalesce(following - step, F.col(panel.ts)).cast(kind))
+    )
     grown = df.withColumn("_until", until).select(
         *df.columns, F.posexplode(F.sequence(F.col(panel.ts), F.col("_until"), step)).alias("_gap", "_moment")
     )

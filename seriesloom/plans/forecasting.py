@@ -185,8 +185,8 @@ _register_grid("tes_grid", "triple", TES_GRID)
 
 
 def best_cte(grid: Grid) -> str:
-    chosen = ", ".join(f"arg_min({p}, (round(mae, 9), grid_id)) AS {p}" for p in ("grid_id", *grid.axes))
-    return f"best AS (SELECT supplier, {chosen}, min(mae) AS mae FROM scores GROUP BY supplier)"
+    chosen = ", ".join(f"arg_min({p}, (CAST(mae AS FLOAT), grid_id)) AS {p}" for p in ("grid_id", *grid.axes, "mae"))
+    return f"best AS (SELECT supplier, {chosen} FROM scores GROUP BY supplier)"
 
 
 def _register_best(name: str, method: str, grid: Grid) -> None:

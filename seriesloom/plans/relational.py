@@ -561,7 +561,7 @@ def _classes_sql() -> str:
     columns = {
         "part": {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int", "p_retailprice": "double"},
         "customer": {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"},
-        "lineitem": {"l_linenumber": "int", "l_returnflag": "string", "l_linestatus": "string", "l_quantity": "double", "l_discount": "double", "l_shipdate": "timestamp"},
+        "lineitem": {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_extendedprice": "double", "l_tax": "double", "l_linenumber": "int", "l_returnflag": "string", "l_linestatus": "string", "l_quantity": "double", "l_discount": "double", "l_shipdate": "timestamp"},
     }
     parts = []
     for name, fields in columns.items():
@@ -579,9 +579,7 @@ def _classes_sql() -> str:
 @query("column_classes", _classes_sql())
 def column_classes(spark, folder):
     """Categorical, numeric and cardinal columns of three tables."""
-    lines = tables.table(spark, folder, "lineitem").select(
-        "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_shipdate"
-    )
+    lines = tables.table(spark, folder, "lineitem")
     lines = lines.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
     found = {
         "part": summarize.classify_columns(tables.table(spark, folder, "part")),

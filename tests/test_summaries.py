@@ -229,3 +229,12 @@ def test_quantiles_of_infinities(spark):
     assert got == {("a", 0.0): -inf, ("a", 0.5): 3.0, ("a", 1.0): inf, ("b", 0.0): inf, ("b", 0.5): inf, ("b", 1.0): inf}
     whole = {r["prob"]: r["value"] for r in exact_quantiles(df, ["v"], [0.0, 0.5]).collect()}
     assert whole == {0.0: -inf, 0.5: 3.5}
+
+
+@pytest.mark.parametrize("many", [20, 5000, 200_000])
+def test_column_classes_at_any_limit(spark, many):
+    nan = float("nan")
+    rows = [(f"v{i % 6000}", float(i % 9) if i % 2 else nan, i) for i in range(12_000)]
+    df = spark.createDataFrame(rows, "t string, f double, n long")
+    got = {r["column_name"]: r["class"] for r in summarize.classify_columns(df, 10, many).collect()}
+    assert got == {"t": "cardinal" if many < 6000 else "categorical", "f": "categorical", "n": "numeric"}

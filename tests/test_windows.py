@@ -189,3 +189,10 @@ def test_open_transform_runs_per_series_in_time_order(spark):
     stamped = Panel(got.df.withColumn("ts", F.col("ts").cast("timestamp")), ("k",), "ts", "y")
     with pytest.raises(TypeError):
         per_series.transform_series(stamped, lambda s: s, "z")
+
+
+@pytest.mark.parametrize("days", [("2020-01-15", "2020-03-10"), ("2020-01-01", "2020-02-01", "2020-02-01")])
+def test_spine_refuses_rows_off_the_calendar(spark, days):
+    df = spark.createDataFrame([("a", dt.date.fromisoformat(d), 1.0) for d in days], "k string, ts date, y double")
+    with pytest.raises(Exception, match="row"):
+        windows.calendar_spine(Panel(df, ("k",), "ts", "y"), "month").df.collect()
