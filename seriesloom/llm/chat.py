@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import fields, need_columns, stored
@@ -114,8 +114,9 @@ def _written(results: DataFrame) -> DataFrame:
 
 def _first(rows: DataFrame) -> DataFrame:
     """Marks the first row of each conversation and id."""
-    w = Window.partitionBy("conv_id", "call_id").orderBy("turn", "json")
     known = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    # Rows that link to nothing are spread.
+    w = Window.partitionBy("conv_id", "call_id", F.when(~known, F.xxhash64("turn", "json"))).orderBy("turn", "json")
     return rows.withColumn("first", known & (F.row_number().over(w) == 1))
 
 
@@ -166,17 +167,20 @@ REPLY = {"reply": {"type": "object", "required": ["turn", "words"], "additionalP
 
 
 def as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Turns of a conversation as calls and results: each user turn calls ``reply``, each assistant turn answers the one before.
+    """Turns of a conversation as calls and results: each user turn calls ``reply``, an assistant turn answers the turn before it.
 
-    The n-th call of a conversation refers to the result of the n/2-th.
+    Counting every second turn, the n-th call refers to the result of the n/2-th.
     """
-    w = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    users = F.sum((F.col("role") == "user").cast("long")).over(w)
-    rows = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").withColumn("n", users)
-    named = F.concat(F.lit("call-"), F.col("n").cast("string"))
+    rows = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+
+    def named(turn: Column) -> Column:
+        return F.concat(F.lit("call-"), turn.cast("string"))
+
+    turn = F.col("turn")
+    place, parity = F.floor(turn / 2), F.pmod(turn, F.lit(2))
     words = F.coalesce(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0))
-    before = F.when(F.col("n") > 1, F.struct(F.concat(F.lit("call-"), F.floor(F.col("n") / 2).cast("string")).alias("$ref")))
+    before = F.when(place > 0, F.struct(named(2 * F.floor(place / 2) + parity).alias("$ref")))
     arguments = F.to_json(F.struct("turn", words.alias("words"), "text", before.alias("after")))
-    calls = rows.where("role = 'user'").select("conv_id", "turn", named.alias("call_id"), F.lit("reply").alias("name"), arguments.alias("arguments"))
-    results = rows.where("role = 'assistant' AND n > 0").select("conv_id", "turn", named.alias("call_id"), F.col("text").alias("content"))
+    calls = rows.where("role = 'user'").select("conv_id", "turn", named(turn).alias("call_id"), F.lit("reply").alias("name"), arguments.alias("arguments"))
+    results = rows.where("role = 'assistant'").select("conv_id", "turn", named(turn - 1).alias("call_id"), F.col("text").alias("content"))
     return calls, results

@@ -140,12 +140,12 @@ def rank(turn: Column, seed: int = 1) -> Column:
 
 def mixed(docs: DataFrame, target: Target, budget: float | None = None, seed: int = 1) -> DataFrame:
     """``docs`` with each row as often as the mix takes it, and ``mix pass`` and ``mix block``: the pass, and the block's rank in it."""
-    plan = stored(cuts(docs, target, budget, seed)).withColumnsRenamed({"source": "mix source"})
-    rows = docs.withColumn("hash", row_hash()).withColumn("mix tokens", tokens_of(F.col("text"))) if "hash" not in docs.columns else None
-    if rows is None:
-        raise ValueError("a column named hash would be overwritten; rename it first")
-    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("mix source")))
-    last = (F.col("mix tokens") > 0) & ((rank(F.col("passes"), seed) < F.col("cut_rank")) | ((rank(F.col("passes"), seed) == F.col("cut_rank")) & (F.col("hash") <= F.col("cut_hash"))))
+    plan = stored(cuts(docs, target, budget, seed))
+    # The row travels as one struct, so that its columns can have any name.
+    rows = docs.select(F.struct("*").alias("mix row"), F.col("source").alias("mix source"), row_hash().alias("hash"), tokens_of(F.col("text")).alias("tokens"))
+    rows = rows.join(plan, F.col("mix source").eqNullSafe(F.col("source")))
+    place = rank(F.col("passes"), seed)
+    last = (F.col("tokens") > 0) & ((place < F.col("cut_rank")) | ((place == F.col("cut_rank")) & (F.col("hash") <= F.col("cut_hash"))))
     times = F.col("passes") + F.coalesce(last, F.lit(False)).cast("long")
     turns = rows.where(times > 0).withColumn("mix pass", F.explode(F.sequence(F.lit(0).cast("long"), times - 1)))
-    return turns.withColumn("mix block", rank(F.col("mix pass"), seed)).select(*docs.columns, "mix pass", "mix block")
+    return turns.withColumn("mix block", rank(F.col("mix pass"), seed)).select("mix row.*", "mix pass", "mix block")

@@ -46,7 +46,8 @@ def test_turns_as_calls(spark):
     status = {(r.conv_id, r.turn, r.kind): (r.status, r.level) for r in rows}
     assert status[1, 1, "call"] == ("ok", 0) and status[1, 3, "call"] == ("ok", 1) and status[1, 4, "result"] == ("ok", 1)
     assert status[1, 5, "call"][0] == "invalid"  # no words
-    assert len(rows) == 6
+    assert status[2, 0, "result"][0] == "orphan"
+    assert len(rows) == 7
 
 
 def test_empty_tables(spark):

@@ -6,7 +6,7 @@ from samples import words
 
 from seriesloom.llm import mixing
 
-SCHEMA = "doc_id long, text string, source string, lang string, tokens long"
+SCHEMA = "doc_id long, text string, source string, hash string, tokens long"
 
 
 def table(spark, sizes):
@@ -76,7 +76,7 @@ def test_passes_take_blocks_in_order(spark, monkeypatch):
 def test_odd_rows(spark):
     rows = [(1, None, "a", "", 0), (1, None, "a", "", 0), (2, "", None, "", 0), (None, "x y", "b", "", 0)]
     got = mixing.mixed(spark.createDataFrame(rows, SCHEMA), mixing.Target(repeated=1.5))
-    assert got.count() == 4 and got.columns[:5] == ["doc_id", "text", "source", "lang", "tokens"]
+    assert got.count() == 4 and got.columns[:5] == ["doc_id", "text", "source", "hash", "tokens"]
     assert mixing.mixed(spark.createDataFrame([], SCHEMA), mixing.Target(repeated=1.5)).count() == 0
 
 
