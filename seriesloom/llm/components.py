@@ -28,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
     seen = _state(links)
     while True:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _toward_least(both, "b > a").distinct()
+        large = _toward_least(both, "b > a")
         # Larger to smaller; the node itself goes to the least as well.
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("least"))

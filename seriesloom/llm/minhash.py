@@ -3,8 +3,9 @@
 A document's set is its distinct five-word shingles, as 64-bit hashes. Texts of equal sets form a class and
 are compared once. MinHash bands put classes into buckets. A bucket's members are compared with its least
 one first; what then hangs together needs no further comparison, so a group of copies costs as many pairs as
-it has members. Members of different components that share a bucket are compared in blocks of at most about
-``BLOCK`` leaders a round until no pair of a bucket is left out.
+it has members. Members of different components that share a small bucket (up to ``BLOCK``) are then compared
+pair by pair; those of larger ones in blocks of full sets, from which only links come back. No pair that
+shares a bucket is left out.
 
 A pair's signatures are compared in batches: after each, the posterior of the similarity (uniform prior)
 tells how likely it still reaches the threshold, and the pair is dropped where that is below ``MISSED``.
@@ -37,8 +38,8 @@ THRESHOLD = 75  # percent
 ROWS, BANDS = 5, 45
 #: Signature bytes compared, in so many batches, and the chance at which a pair is given up.
 COMPARED, BATCHES, MISSED = 96, 4, 1e-7
-#: Leaders of a bucket in one round, about.
-BLOCK = 64
+#: Members of a bucket that are compared pair by pair, and of a block; shingles of a slab.
+BLOCK, SLAB = 64, 8192
 SEED = 7
 
 
@@ -160,23 +161,87 @@ def set_rows(texts: DataFrame, keep: list[str]) -> DataFrame:
     return texts.select(*keep, "text").mapInArrow(cut, fields(**dict.fromkeys(keep, "long"), shingles="array<long>"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold; each b's set travels once to its a."""
-    left = set_rows(texts.join(pairs.select(F.col("a").alias("uid")).distinct(), "uid"), ["uid"]).select(F.col("uid").alias("a"), F.col("shingles").alias("left"))
-    right = set_rows(texts.join(pairs.select(F.col("b").alias("uid"), "a"), "uid"), ["a", "uid"]).select("a", F.col("uid").alias("b"), F.col("shingles").alias("right"))
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets (``uid``, ``shingles``) reach the threshold."""
+    left, right = (sets.select(F.col("uid").alias(x), F.col("shingles").alias(y)) for x, y in (("a", "left"), ("b", "right")))
     both = F.size(F.array_intersect("left", "right"))
-    return right.join(left, "a").where(100 * both >= THRESHOLD * (F.size("left") + F.size("right") - both)).select("a", "b")
+    return pairs.join(right, "b").join(left, "a").where(100 * both >= THRESHOLD * (F.size("left") + F.size("right") - both)).select("a", "b")
 
 
 def _alike_in_size(left: str, right: str) -> Column:
     return 100 * F.least(left, right) >= THRESHOLD * F.greatest(left, right)
 
 
+def _open_rows(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows (key, uid, n) of buckets that hold several components, with each row's ``label`` and the bucket's ``size``."""
+    labels = roots.select(F.col("node").alias("uid"), "root")
+    labelled = rows.join(labels, "uid", "left").withColumn("label", F.coalesce("root", "uid")).drop("root")
+    keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), F.min("uid").alias("first"))
+    return stored(labelled.join(keys.where("low <> high").select("key", "size", "first"), "key"))
+
+
+def _without_loners(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """``uid``, ``label`` and ``n`` of the members of large buckets, but of those that can't be linked in them.
+
+    Where so many shingles are a member's own that no set could reach the threshold with it, it is left out:
+    an exact bound, which spares far copies the comparison with all others.
+    """
+    members = large.select("uid", "label", "n").distinct()
+    shingle = sets.join(members.select("uid"), "uid").select("uid", F.explode("shingles").alias("shingle"))
+    own = shingle.groupBy("shingle").agg(F.min("uid").alias("uid"), F.count("*").alias("df")).where("df = 1").groupBy("uid").agg(F.count("*").alias("own"))
+    kept = 100 * (F.col("n") - F.coalesce("own", F.lit(0))) >= THRESHOLD * F.col("n")
+    return members.join(own, "uid", "left").where(kept).select("uid", "label", "n")
+
+
+def _compared_in_blocks(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between members of large buckets, found by comparing full sets block by block.
+
+    Members that buckets hang together form a cluster. It is dealt into blocks by hash, and a task gets one
+    pair of blocks: it counts what all their sets share by products of slabs of the incidence matrix, and
+    returns one link per member and foreign component. No pairs leave the task but links.
+    """
+    clusters = components(large.where("uid <> first").select(F.col("uid").alias("a"), F.col("first").alias("b")))
+    kept = _without_loners(large, sets)
+    placed = kept.join(clusters.select(F.col("node").alias("uid"), "root"), "uid", "left").withColumn("cluster", F.coalesce("root", "uid"))
+    sizes = placed.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    dealt = placed.join(sizes.select("cluster", "blocks"), "cluster").withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    copies = dealt.join(sets, "uid").withColumn("other", other).select(
+        "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "uid", "label", "shingles"
+    )
+
+    def compare(rows: pa.Table) -> pa.Table:
+        uid, label, block = (rows.column(k).to_numpy() for k in ("uid", "label", "block"))
+        lists = rows.column("shingles").combine_chunks()
+        sizes, flat = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
+        owner = np.repeat(np.arange(len(uid)), sizes)
+        _, column, df = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = np.flatnonzero(df > 1)
+        rank = np.full(len(df), -1)
+        rank[shared] = np.arange(len(shared))
+        at = rank[column]
+        order = np.argsort(at, kind="stable")
+        at, owner = at[order], owner[order]
+        both = np.zeros((len(uid), len(uid)), np.float32)
+        for low in range(0, len(shared), SLAB):
+            some = slice(*np.searchsorted(at, (low, low + SLAB)))
+            slab = np.zeros((len(uid), min(SLAB, len(shared) - low)), np.float32)
+            slab[owner[some], at[some] - low] = 1
+            both += slab @ slab.T
+        linked = (100 * both >= THRESHOLD * (sizes[:, None] + sizes[None] - both)) & (label[:, None] != label[None])
+        if len(np.unique(block)) > 1:
+            linked &= block[:, None] != block[None]
+        a, b = np.nonzero(linked)
+        _, first = np.unique(np.stack([a, label[b]], axis=1), axis=0, return_index=True) if len(a) else (None, np.zeros(0, np.int64))
+        return pa.table({"a": pa.array(uid[a[first]]), "b": pa.array(uid[b[first]])})
+
+    return copies.groupBy("cluster", "i", "j").applyInArrow(compare, fields(a="long", b="long"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (least doc_id reachable by links) and ``kept`` for every row.
 
-    ``hash`` is the text's hash, so that rows can be joined back to their texts, and ``copy`` counts the rows
-    before with the same id and text.
+    ``uid`` numbers the rows, and ``hash`` is the text's hash, by which rows are joined back to their texts.
     """
     docs = need_columns(docs, ["doc_id", "text"])
     sign = stored(signed(docs))
@@ -199,27 +264,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = reps.join(busy.select("uid").distinct(), "uid").select("uid", F.col("doc_id").alias("wanted_id"), F.col("hash").alias("wanted_hash"))
     sources = docs.withColumn("hash", F.xxhash64("text"))
     found = sources.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("hash") == F.col("wanted_hash")))
-    texts = stored(found.groupBy("uid").agg(F.min("text").alias("text")))
-    roots = components(verified(first, texts))
-
-    turn = 0
-    while True:
-        labels = roots.select(F.col("node").alias("uid"), "root")
-        labelled = busy.join(labels, "uid", "left").withColumn("label", F.coalesce("root", "uid"))
-        open_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-        # The least member was compared with all; the rest take turns as leaders.
-        blocks = F.ceil(F.col("size") / BLOCK)
-        left = stored(labelled.where("uid <> leader").join(open_keys, "key").withColumn("turn", F.pmod(F.xxhash64("key", "uid"), blocks)).where(F.col("turn") >= turn).select("key", "uid", "n", "label", "turn"))
-        if left.isEmpty():
-            break
-        lead = left.where(F.col("turn") == turn).select("key", F.col("uid").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-        other = left.select("key", F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), F.col("turn").alias("turn_b"))
-        once = (F.col("turn_b") > turn) | (F.col("b") > F.col("a"))
-        pairs = lead.join(other, "key").where((F.col("label_a") != F.col("label_b")) & once & _alike_in_size("n_a", "n_b"))
-        new = stored(verified(survivors(pairs.select("a", "b").distinct()), texts))
-        if not new.isEmpty():
-            roots = components(new.union(roots.select("node", "root")))
-        turn += 1
+    # Rows equal in id and text give the same set.
+    sets = stored(set_rows(found, ["uid"]).dropDuplicates(["uid"]))
+    roots = components(verified(first, sets))
+
+    # The least member of a bucket was compared with all. What is still apart is compared pair by pair in
+    # small buckets, in blocks of sets in large ones.
+    left = _open_rows(busy.where("uid <> leader").select("key", "uid", "n"), roots)
+    small = left.where(F.col("size") <= BLOCK)
+    one, other = (small.select("key", F.col("uid").alias(x), F.col("n").alias(f"n_{x}"), F.col("label").alias(f"label_{x}")) for x in "ab")
+    pairs = one.join(other, "key").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & _alike_in_size("n_a", "n_b"))
+    new = verified(survivors(pairs.select("a", "b").distinct()), sets)
+    large = left.where(F.col("size") > BLOCK)
+    if not large.isEmpty():
+        new = new.union(_compared_in_blocks(large, sets))
+    new = stored(new)
+    if not new.isEmpty():
+        roots = components(new.union(roots.select("node", "root")))
 
     labels = roots.select(F.col("node").alias("rep"), "root")
     grouped = members.join(labels, "rep", "left").withColumn("label", F.coalesce("root", "rep"))
