@@ -27,8 +27,8 @@ WHITE = "\t\n\x0b\x0c\r \x85\xa0                
 #: Marks the first word of a text, which nothing precedes.
 FIRST = "\x00"
 
-#: Words that a tokenizer without spaces cuts into letters and, if any, signs after them.
-PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+([.,!?;:*$%&#|]*)")
+#: Words that tokenizers cut into letters and, if any, signs after them.
+PLAIN = re.compile("\n?([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:*$%&#|]*)")
 
 
 def tokenizer_path(name: str) -> str:
@@ -43,15 +43,17 @@ class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        size = self.tokenizer.get_vocab_size()
-        names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
-        self.keeps_space = bool(self.tokenizer.encode(" ", add_special_tokens=False).ids)
-        # Where a word begins or ends in a row of ids.
-        self.begins = np.array([n[:1] in ("Ġ", "Ċ") for n in names])
-        self.closes = np.array([n.endswith("</w>") for n in names])
+        self.keeps_space = bool(self.plainly([" "])[0])
+        self.model = self.tokenizer.model
+        # How the tokenizer writes letters before it merges them.
+        lower = self.plainly(["A"]) == self.plainly(["a"])
+        spell = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: spell.pre_tokenize_str(chr(c).lower() if lower else chr(c))[0][0] for c in range(65, 256) if PLAIN.fullmatch(chr(c))}
+        self.newline = self.tokenizer.token_to_id("Ċ")
         self.forget()
 
     def forget(self) -> None:
@@ -63,55 +65,41 @@ class WordEncoder:
     def plainly(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def in_a_row(self, words: list[str], bounds: int) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids and their number per word, from one text that holds all the words.
-
-        None if the text doesn't fall into as many words (``bounds``) as it was made of.
-        """
-        ids = np.array(self.tokenizer.encode("".join(words) if self.keeps_space else " ".join(words), add_special_tokens=False).ids, np.uint32)
+    def of_letters(self, word: str, letters: str, signs: str) -> list[int]:
+        """Ids of a plain word: both kinds of tokenizers merge its letters alone, and then its signs."""
+        text = letters.translate(self.letters)
+        ids = []
         if self.keeps_space:
-            at = np.flatnonzero(self.begins[ids])
-            if len(at) != bounds or at[0]:
-                return None
-            return ids, np.diff(at, append=len(ids))
-        parts = np.array([1 + (PLAIN.fullmatch(w)[1] != "") for w in words])
-        at = np.flatnonzero(self.closes[ids]) + 1
-        if len(at) != parts.sum():
-            return None
-        return ids, np.diff(at[np.cumsum(parts) - 1], prepend=0)
+            if word[0] == "\n":
+                ids = [self.newline]
+            else:
+                text = "Ġ" + text
+        ids += [t.id for t in self.model.tokenize(text)]
+        if signs:
+            ids += [t.id for t in self.model.tokenize(signs)]
+        return ids
 
     def learn(self, words: list[str]) -> None:
         """Encode words that were not met before."""
+        plain, found, rest = [], [], []
+        for w in words:
+            cut = PLAIN.fullmatch(w)
+            if cut and (self.keeps_space or w[0] != "\n"):
+                plain.append(w)
+                found.append(self.of_letters(w, cut[1], cut[2]))
+            else:
+                rest.append(w)
+        asked = rest
         if self.keeps_space:
-            unsafe = [w[0] != FIRST and (w in ("", "\n") or w[0] in WHITE[:1] + WHITE[2:] or w[0] == "\n" and w[1] in WHITE or w[-1] in WHITE) if w else True for w in words]
-            joint = [w for w, bad in zip(words, unsafe, strict=True) if not bad and w[0] != FIRST]
-            rest = [w for w, bad in zip(words, unsafe, strict=True) if bad or w[0] == FIRST]
-            asked = {w: w if w[0] == "\n" else " " + w for w in joint}
-            asked |= {w: w[1:] if w[:1] == FIRST else "" for w in rest}
-        else:
-            joint = [w for w in words if PLAIN.fullmatch(w)]
-            rest = [w for w in words if not PLAIN.fullmatch(w)]
-            asked = dict(zip(words, words, strict=True))
-        lengths, found = [], []
-        for i in range(0, len(joint), 1000):
-            some = [asked[w] for w in joint[i : i + 1000]]
-            got = self.in_a_row(some, len(some))
-            if got is None:
-                each = self.plainly(some)
-                got = np.array([x for e in each for x in e], np.uint32), np.array([len(e) for e in each])
-            found.append(got[0])
-            lengths.append(got[1])
-        each = self.plainly([asked[w] for w in rest])
-        found.append(np.array([x for e in each for x in e], np.uint32))
-        lengths.append(np.array([len(e) for e in each], np.int64))
+            asked = [w[1:] if w[:1] == FIRST else w if w[:1] == "\n" else " " + w for w in rest]
+        found += self.plainly(asked)
         n = len(self.number)
-        self.number.update(zip(joint + rest, range(n, n + len(words)), strict=True))
-        self.flat = np.concatenate([self.flat, *found])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(lengths))])
-        bad = np.zeros(len(words), bool)
-        if self.keeps_space:
-            bad[len(joint) :] = [w[:1] != FIRST for w in rest]
-        self.unsafe = np.concatenate([self.unsafe, bad])
+        self.number.update(zip(plain + rest, range(n, n + len(words)), strict=True))
+        self.flat = np.concatenate([self.flat, np.fromiter((x for ids in found for x in ids), np.uint32)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(ids) for ids in found], dtype=np.int64)])
+        # A word that is empty, or begins or ends with white space of its own, is part of a longer run.
+        bad = [False] * len(plain) + [self.keeps_space and w[:1] != FIRST and (w in ("", "\n") or w[0] in WHITE and w[0] != "\n" or w[0] == "\n" and w[1] in WHITE or w[-1] in WHITE) for w in rest]
+        self.unsafe = np.concatenate([self.unsafe, np.array(bad, bool)])
 
     def encode(self, texts: list[str | None], end: int) -> Iterator[np.ndarray]:
         """The ids of each text, then ``end``."""
@@ -130,10 +118,13 @@ class WordEncoder:
                 words += (FIRST + t.replace("\n", " \n")).split(" ") if self.keeps_space else t.replace("\n", " ").split(" ")
             whole.append(odd)
             ends.append(len(words))
-        new = list(set(words).difference(self.number))
+        distinct = set(words)
+        new = [w for w in distinct if w not in self.number]
         if new:
             self.learn(new)
-        w = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        # The words of a batch are looked up in a table of their own, which is small.
+        number = {w: self.number[w] for w in distinct}
+        w = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
         start, length = self.ends[w], self.ends[w + 1] - self.ends[w]
         done = np.cumsum(length)
         ids = self.flat[np.repeat(start - done + length, length) + np.arange(done[-1] if len(done) else 0)]
