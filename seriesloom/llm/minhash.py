@@ -3,7 +3,7 @@
 A document's set is its distinct five-word shingles, as 64-bit hashes. Texts of equal sets form a class and
 are compared once. MinHash bands put classes into buckets. A bucket's members are compared with its least
 one first; what then hangs together needs no further comparison, so a group of copies costs as many pairs as
-it has members. Members of different components that share a small bucket (up to ``BLOCK``) are then compared
+it has members. Members of different components that share a small bucket (up to ``SMALL``) are then compared
 pair by pair; those of larger ones in blocks of full sets, from which only links come back. No pair that
 shares a bucket is left out.
 
@@ -38,8 +38,8 @@ THRESHOLD = 75  # percent
 ROWS, BANDS = 5, 45
 #: Signature bytes compared, in so many batches, and the chance at which a pair is given up.
 COMPARED, BATCHES, MISSED = 96, 4, 1e-7
-#: Members of a bucket that are compared pair by pair, and of a block; shingles of a slab.
-BLOCK, SLAB = 64, 8192
+#: Most members of a bucket that are compared pair by pair; members of a block of sets; shingles of a slab.
+SMALL, BLOCK, SLAB = 64, 128, 8192
 SEED = 7
 
 
@@ -180,19 +180,6 @@ def _open_rows(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(labelled.join(keys.where("low <> high").select("key", "size", "first"), "key"))
 
 
-def _without_loners(large: DataFrame, sets: DataFrame) -> DataFrame:
-    """``uid``, ``label`` and ``n`` of the members of large buckets, but of those that can't be linked in them.
-
-    Where so many shingles are a member's own that no set could reach the threshold with it, it is left out:
-    an exact bound, which spares far copies the comparison with all others.
-    """
-    members = large.select("uid", "label", "n").distinct()
-    shingle = sets.join(members.select("uid"), "uid").select("uid", F.explode("shingles").alias("shingle"))
-    own = shingle.groupBy("shingle").agg(F.min("uid").alias("uid"), F.count("*").alias("df")).where("df = 1").groupBy("uid").agg(F.count("*").alias("own"))
-    kept = 100 * (F.col("n") - F.coalesce("own", F.lit(0))) >= THRESHOLD * F.col("n")
-    return members.join(own, "uid", "left").where(kept).select("uid", "label", "n")
-
-
 def _compared_in_blocks(large: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between members of large buckets, found by comparing full sets block by block.
 
@@ -201,8 +188,8 @@ def _compared_in_blocks(large: DataFrame, sets: DataFrame) -> DataFrame:
     returns one link per member and foreign component. No pairs leave the task but links.
     """
     clusters = components(large.where("uid <> first").select(F.col("uid").alias("a"), F.col("first").alias("b")))
-    kept = _without_loners(large, sets)
-    placed = kept.join(clusters.select(F.col("node").alias("uid"), "root"), "uid", "left").withColumn("cluster", F.coalesce("root", "uid"))
+    members = large.select("uid", "label").distinct()
+    placed = members.join(clusters.select(F.col("node").alias("uid"), "root"), "uid", "left").withColumn("cluster", F.coalesce("root", "uid"))
     sizes = placed.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     dealt = placed.join(sizes.select("cluster", "blocks"), "cluster").withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
@@ -271,11 +258,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # The least member of a bucket was compared with all. What is still apart is compared pair by pair in
     # small buckets, in blocks of sets in large ones.
     left = _open_rows(busy.where("uid <> leader").select("key", "uid", "n"), roots)
-    small = left.where(F.col("size") <= BLOCK)
+    small = left.where(F.col("size") <= SMALL)
     one, other = (small.select("key", F.col("uid").alias(x), F.col("n").alias(f"n_{x}"), F.col("label").alias(f"label_{x}")) for x in "ab")
     pairs = one.join(other, "key").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & _alike_in_size("n_a", "n_b"))
     new = verified(survivors(pairs.select("a", "b").distinct()), sets)
-    large = left.where(F.col("size") > BLOCK)
+    large = left.where(F.col("size") > SMALL)
     if not large.isEmpty():
         new = new.union(_compared_in_blocks(large, sets))
     new = stored(new)

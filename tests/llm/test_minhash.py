@@ -57,7 +57,8 @@ def test_group_of_near_copies(docs):
 
 
 def test_blocks_of_leaders(docs, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "SMALL", 3)
+    monkeypatch.setattr(minhash, "BLOCK", 7)
     base = words(150, 12)
     check(docs, [(i, edited(base, 9 + i % 9, i)) for i in range(60)])
 
