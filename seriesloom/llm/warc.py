@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,6 +36,8 @@ from .shared import fields, need_columns, stored
 LEAST_BYTES = 0
 #: Ranges of a file not further apart are read at once, up to so many bytes.
 GAP, READ = 64 << 10, 8 << 20
+#: Bytes of records that a task reads, about.
+TASK = 16 << 20
 DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -170,6 +173,7 @@ def read(selected: DataFrame) -> DataFrame:
         if rows:
             yield from parsed(file, rows)
 
-    # Ranges of file and offset: a file of many records is read by several tasks.
-    rows = selected.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # Ranges of file and offset, as many as their bytes ask for: index rows are small, records are not.
+    tasks = math.ceil((selected.agg(F.sum("length")).first()[0] or 1) / TASK)
+    rows = selected.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return rows.mapInArrow(get, schema)
