@@ -196,7 +196,8 @@ def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                         yield pa.record_batch({"doc_id": ids_of.cast(kind_of), "start": pa.array(starts[some]), "n_tokens": pa.array(sizes, pa.int64()), "ids_crc32": pa.array(crcs, pa.int64())})
 
     kind_of = pa.int32() if kind == "int" else pa.int64()
-    paths = files.repartition(F.col("path"))
+    # A task for each file or few: rows are small, files are not.
+    paths = files.repartition(max(1, manifest.count()), "path")
     return paths.mapInArrow(get, fields(doc_id=kind, start="long", n_tokens="long", ids_crc32="long"))
 
 
