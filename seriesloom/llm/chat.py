@@ -9,8 +9,9 @@ conversation of any length is never gathered.
 
 Defined cases: of several calls or results of one id the first counts (least turn, then least text) and the
 others are kept with status ``repeated``; a result without a call is ``orphan``; arguments that are null or
-not a JSON object fail validation; rows with a null conversation or id link to nothing; empty tables give no
-rows; columns beyond those named are left out.
+not a JSON object fail validation; rows with a null conversation or id link to nothing; turns of any role but
+user and assistant, also of none, are messages of their own that link to nothing; empty tables give no rows;
+columns beyond those named are left out.
 """
 
 from __future__ import annotations
@@ -184,3 +185,23 @@ def as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     calls = rows.where("role = 'user'").select("conv_id", "turn", named(turn).alias("call_id"), F.lit("reply").alias("name"), arguments.alias("arguments"))
     results = rows.where("role = 'assistant'").select("conv_id", "turn", named(turn - 1).alias("call_id"), F.col("text").alias("content"))
     return calls, results
+
+
+def messages(conversations: DataFrame) -> DataFrame:
+    """The turns that :func:`as_calls` leaves out, in the columns of :func:`linked`: kind ``message``, without id and level."""
+    others = conversations.where(~F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False))).select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bodies = [canonical({"content": c, "role": r, "type": "message"}) for r, c in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.record_batch({"conv_id": batch.column(0), "turn": batch.column(1), "json": pa.array(bodies, pa.string())})
+
+    written = others.mapInArrow(write, fields(conv_id=dict(others.dtypes)["conv_id"], turn="long", json="string"))
+    none = F.lit(None)
+    return written.select("conv_id", "turn", F.lit("message").alias("kind"), none.cast("string").alias("call_id"), none.cast("int").alias("level"), F.col("turn").alias("call_turn"), F.lit("ok").alias("status"), F.lit("").alias("faults"), "json")
+
+
+def turns(conversations: DataFrame) -> DataFrame:
+    """Every turn of ``conversations`` as one row: a call, a result or a message."""
+    calls, results = as_calls(conversations)
+    return linked(calls, results, REPLY).union(messages(conversations))

@@ -129,8 +129,7 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op8_chat")
 def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
-    calls, results = chat.as_calls(table(spark, folder, "conversations"))
-    return chat.linked(calls, results, chat.REPLY)
+    return chat.turns(table(spark, folder, "conversations"))
 
 
 @query("op9_quality")

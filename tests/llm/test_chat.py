@@ -1,6 +1,6 @@
 import json
 
-from seriesloom.llm import chat
+from seriesloom.llm import chat, queries
 
 TOOL = {"find": {"type": "object", "required": ["q"], "additionalProperties": False, "properties": {"q": {"type": "string"}, "n": {"type": "integer", "minimum": 1}, "of": {"type": "array", "items": {"type": "string", "enum": ["a", "b"]}}, "on": {"type": "object"}}}}
 CALLS = "conv_id long, turn long, call_id string, name string, arguments string, extra string"
@@ -50,5 +50,19 @@ def test_turns_as_calls(spark):
     assert len(rows) == 7
 
 
+def test_every_turn_is_a_row(spark):
+    turns = [(1, 0, "system", "s é"), (1, 1, "user", "hi"), (1, 2, "assistant", "yes"), (1, 3, None, "lost"), (1, 4, "tool", None), (1, 5, "User", "x"), (None, None, None, None), (2, 0, "assistant", "y"), (1, 0, "system", "s é")]
+    rows = chat.turns(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()
+    assert len(rows) == len(turns)
+    others = sorted((r.conv_id or 0, r.turn or 0, r.call_turn or 0, r.status, r.call_id, r.level, r.json) for r in rows if r.kind == "message")
+    want = [(c or 0, t or 0, t or 0, "ok", None, None, chat.canonical({"content": x, "role": r, "type": "message"})) for c, t, r, x in turns if r not in ("user", "assistant")]
+    assert others == sorted(want)
+
+
+def test_query_keeps_all_turns(spark):
+    folder = "/root/testdata/sf0.001"
+    assert queries.QUERIES["op8_chat"](spark, folder).count() == spark.read.parquet(f"{folder}/conversations.parquet").count()
+
+
 def test_empty_tables(spark):
     assert chat.linked(spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS), TOOL).count() == 0
