@@ -1,3 +1,6 @@
+import random
+import textwrap
+
 from samples import ROWS, words
 
 from seriesloom.llm import licenses
@@ -38,5 +41,51 @@ def test_size_bounds_drop_no_match():
                 assert i in near
 
 
+def best_run(text, template):
+    w = licenses.normalised(text)
+    return max((dice(" ".join(w[a:b]), template) for a in range(len(w)) for b in range(a + 2, len(w) + 1)), default=0)
+
+
+def test_wrapped_and_embedded_notices(docs):
+    gpl, mit = licenses.TEMPLATES[5][1], next(t for n, t in licenses.FULL if n == "MIT")
+    whole_gpl = max((t for n, t in licenses.FULL if n == "GPL-3.0"), key=len)
+    wrapped = "\n# ".join(textwrap.wrap(gpl, 60))
+    cc = "Photo by Jane Doe from the city archive. Licensed under CC BY 4.0."
+    rows = [
+        (1, words(300, 1) + "\n" + wrapped + "\n" + words(300, 2)),
+        (2, cc),
+        (3, mit),
+        (4, words(50, 3) + "\n" + whole_gpl + "\n" + words(50, 4)),
+        (5, words(40, 5) + " " + cc + " " + words(40, 6) + " Released under the\nMIT License. " + words(40, 7)),
+        (6, "released under the mit " * 3000 + words(20, 9)),
+        (7, words(500, 8)),
+    ]
+    got = {r.doc_id: (r.n_notices, r.license, r.dice, r.passage) for r in licenses.scan(docs(rows)).collect()}
+    assert got[1] == (1, "GPL-3.0", 1.0, 2)
+    assert got[2] == (1, "CC-BY-4.0", 1.0, 1)
+    assert got[3] == (1, "MIT", 1.0, 1)
+    assert got[4] == (1, "GPL-3.0", 1.0, 2)
+    assert got[5] == (2, "MIT", 1.0, 1)  # of equal scores on one line the template named first
+    assert got[6] == (3000, "MIT", 6 / 7, 1)
+    assert got[7] == (0, None, None, None)
+
+
+def test_runs_reach_the_best_score():
+    r = random.Random(3)
+    for k in (0, 2, 8):
+        name, template = licenses.TEMPLATES[k]
+        runs = licenses.Runs([(name, template)])
+        for _ in range(60):
+            w = licenses.normalised(template)
+            for _ in range(r.randrange(4)):
+                w.insert(r.randrange(len(w) + 1), r.choice([*w, "x"]))
+            text = " ".join(["a", "b", *w, "c", "d"][r.randrange(4) :])
+            own = licenses.normalised(text)
+            found = runs.found(own, licenses.bigrams(own), [])
+            assert bool(found) == (best_run(text, template) >= licenses.LEAST / 100)
+            for c, score, first, last, _ in found:
+                assert score == dice(" ".join(own[first : last + 2]), template) and c == len(licenses.bigrams(own[first : last + 2]) & licenses.bigrams(licenses.normalised(template)))
+
+
 def test_empty_table(docs):
     assert licenses.scan(docs([])).count() == 0
