@@ -119,7 +119,7 @@ def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op6_fingerprints")
 def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return fingerprints.edits(table(spark, folder, "documents"))
+    return fingerprints.matched(table(spark, folder, "documents"))
 
 
 @query("op7_packing")
