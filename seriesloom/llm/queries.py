@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, idfiles, licenses, lm, minhash, mixing, packing, quality, warc
+from . import chat, fingerprints, idfiles, licenses, lm, minhash, mixing, packing, quality, repair, warc
 from .encoding import tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,9 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op10_idfiles(spark: SparkSession, folder: str) -> DataFrame:
     manifest = idfiles.write(table(spark, folder, "documents"), idfiles.new_folder(spark), tokenizer_path("word_bpe_49k.json"))
     return idfiles.read(spark, manifest)
+
+
+@query("op11_repair")
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    return repair.report(repair.damaged(rows), rows)
