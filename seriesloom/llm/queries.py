@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, idfiles, licenses, lm, minhash, mixing, packing, quality, repair, warc
+from . import chat, fingerprints, idfiles, licenses, lm, minhash, mixing, packing, quality, repair, search, warc
 from .encoding import tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,25 @@ def op10_idfiles(spark: SparkSession, folder: str) -> DataFrame:
 def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations")
     return repair.report(repair.damaged(rows), rows)
+
+
+_SEARCHED = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP12_SQL = f"""WITH d AS (SELECT doc_id, {_SEARCHED} AS t FROM documents),
+s AS (SELECT count(*) AS docs, CAST(sum(len(t)) AS BIGINT) AS terms FROM d WHERE len(t) > 0),
+p AS (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM p GROUP BY ALL),
+q AS (SELECT item_id, unnest({_SEARCHED}) AS term FROM benchmark),
+a AS (SELECT item_id, term, count(*) AS often FROM q GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf WHERE term IN (SELECT term FROM a) GROUP BY 1),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, s),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(often * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM tf JOIN w USING (term) JOIN a USING (term), s GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= {search.BEST}"""
+
+
+@query("op12_search", OP12_SQL)
+def op12_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -6,7 +6,7 @@ another character, so bytes give the same words as characters.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
@@ -46,12 +46,19 @@ class _Powers:
         return cls.up[:n], cls.down[:n]
 
 
-def _hashed(data: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+Edges = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
+def word_edges(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words begin and end."""
+    edges = np.flatnonzero(np.diff(_SPACE[b], prepend=True, append=True))
+    return edges[::2], edges[1::2]
+
+
+def _hashed(data: bytes, bounds: np.ndarray, find: Edges) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words in ``data``, and how many of them begin before each of ``bounds``."""
     b = np.frombuffer(data, np.uint8)
-    gap = _SPACE[b]
-    edges = np.flatnonzero(np.diff(gap, prepend=True, append=True))
-    starts, ends = edges[::2], edges[1::2]
+    starts, ends = find(b)
     up, down = _Powers.of(len(b) + 1)
     total = np.zeros(len(b) + 1, np.uint64)
     np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
@@ -74,10 +81,10 @@ def encoded(text: str | None, lower: bool = True) -> bytes:
     return data.translate(_LOWER) if lower else data
 
 
-def hashed_words(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def hashed_words(texts: list[bytes], find: Edges = word_edges) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first, hashes, ends) for runs of texts: text first + i has the words up to ends[i].
 
-    Runs hold about a megabyte, or one longer text.
+    Runs hold about a megabyte, or one longer text. ``find`` tells where words begin and end.
     """
     first = 0
     while first < len(texts):
@@ -86,12 +93,12 @@ def hashed_words(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarr
             size += len(texts[last]) + 1
             last += 1
         if size > 2 * SLICE:
-            parts = [_hashed(p, np.zeros(0, np.int64))[0] for p in _pieces(texts[first])]
+            parts = [_hashed(p, np.zeros(0, np.int64), find)[0] for p in _pieces(texts[first])]
             words = np.concatenate(parts)
             yield first, words, np.array([len(words)])
         else:
             bounds = np.cumsum([len(t) + 1 for t in texts[first:last]])
-            words, ends = _hashed(b" ".join(texts[first:last]) + b" ", bounds)
+            words, ends = _hashed(b" ".join(texts[first:last]) + b" ", bounds, find)
             yield first, words, ends
         first = last
 
