@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, idfiles, licenses, lm, minhash, mixing, packing, quality, repair, search, warc
+from . import chat, classifier, fingerprints, idfiles, licenses, lm, minhash, mixing, packing, quality, repair, search, warc
 from .encoding import tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,8 @@ SELECT item_id, rank, doc_id, score FROM r WHERE rank <= {search.BEST}"""
 @query("op12_search", OP12_SQL)
 def op12_search(spark: SparkSession, folder: str) -> DataFrame:
     return search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op13_classifier")
+def op13_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classifier.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
