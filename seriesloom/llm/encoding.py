@@ -1,8 +1,9 @@
 """Token ids of whole texts by the tokenizers library, each distinct word encoded once per worker.
 
 Both kinds of public tokenizers cut a text at white space before they merge, so the ids of a text are
-those of its words in a row. A word is looked up with the space or line break before it. Where that
-doesn't hold (runs of white space in a tokenizer that keeps it), the whole text goes to the library.
+those of its words in a row. A word is looked up with the space or line break before it, by two 64-bit
+hashes of its bytes. Where that doesn't hold (runs of white space in a tokenizer that keeps it, or one of
+the tokenizer's own special tokens), the whole text goes to the library.
 """
 
 from __future__ import annotations
@@ -14,18 +15,16 @@ from collections.abc import Iterator
 import numpy as np
 
 from .shared import worker_memory
+from .words import SLICE, mix, powers
 
 #: Distinct words that a worker remembers; then it starts anew.
-REMEMBERED = 1_200_000
-
-#: Texts encoded at once.
-BATCH = 512
+REMEMBERED = 2_000_000
 
 #: Characters that count as white space in the tokenizers' patterns (fixed values).
 WHITE = "\t\n\x0b\x0c\r \x85\xa0                　"
 
-#: Marks the first word of a text, which nothing precedes.
-FIRST = "\x00"
+#: What precedes a word: nothing (the start of a text), a space, a line break.
+FIRST, SPACED, BROKEN = 0, 1, 2
 
 #: Words that tokenizers cut into letters and, if any, signs after them.
 PLAIN = re.compile("\n?([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:*$%&#|]*)")
@@ -46,7 +45,7 @@ class WordEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keeps_space = bool(self.plainly([" "])[0])
         self.model = self.tokenizer.model
         # How the tokenizer writes letters before it merges them.
@@ -57,7 +56,9 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
+        """Start without words: sorted hashes, and the number by which a word's ids are found."""
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.numbers = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
         self.ends = np.zeros(1, np.int64)
         self.unsafe = np.zeros(0, bool)
@@ -65,79 +66,144 @@ class WordEncoder:
     def plainly(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def of_letters(self, word: str, letters: str, signs: str) -> list[int]:
+    def of_letters(self, before: int, letters: str, signs: str) -> list[int]:
         """Ids of a plain word: both kinds of tokenizers merge its letters alone, and then its signs."""
         text = letters.translate(self.letters)
         ids = []
         if self.keeps_space:
-            if word[0] == "\n":
+            if before == BROKEN:
                 ids = [self.newline]
-            else:
+            elif before == SPACED:
                 text = "Ġ" + text
         ids += [t.id for t in self.model.tokenize(text)]
         if signs:
             ids += [t.id for t in self.model.tokenize(signs)]
         return ids
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: list[str], before: list[int]) -> None:
         """Encode words that were not met before."""
-        plain, found, rest = [], [], []
-        for w in words:
+        found: list[list[int]] = [[]] * len(words)
+        rest = []
+        for i, w in enumerate(words):
             cut = PLAIN.fullmatch(w)
-            if cut and (self.keeps_space or w[0] != "\n"):
-                plain.append(w)
-                found.append(self.of_letters(w, cut[1], cut[2]))
+            if cut:
+                found[i] = self.of_letters(before[i], cut[1], cut[2])
             else:
-                rest.append(w)
-        asked = rest
-        if self.keeps_space:
-            asked = [w[1:] if w[:1] == FIRST else w if w[:1] == "\n" else " " + w for w in rest]
-        found += self.plainly(asked)
-        n = len(self.number)
-        self.number.update(zip(plain + rest, range(n, n + len(words)), strict=True))
+                rest.append(i)
+        lead = ("", " ", "\n") if self.keeps_space else ("", "", "")
+        for i, ids in zip(rest, self.plainly([lead[before[i]] + words[i] for i in rest]), strict=True):
+            found[i] = ids
+        # A word that is empty, or begins or ends with white space of its own, is part of a longer run.
+        bad = np.zeros(len(words), bool)
+        for i in rest:
+            w = words[i]
+            bad[i] = self.keeps_space and before[i] != FIRST and (w == "" or w[0] in WHITE or w[-1] in WHITE)
         self.flat = np.concatenate([self.flat, np.fromiter((x for ids in found for x in ids), np.uint32)])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(ids) for ids in found], dtype=np.int64)])
-        # A word that is empty, or begins or ends with white space of its own, is part of a longer run.
-        bad = [False] * len(plain) + [self.keeps_space and w[:1] != FIRST and (w in ("", "\n") or w[0] in WHITE and w[0] != "\n" or w[0] == "\n" and w[1] in WHITE or w[-1] in WHITE) for w in rest]
-        self.unsafe = np.concatenate([self.unsafe, np.array(bad, bool)])
+        self.unsafe = np.concatenate([self.unsafe, bad])
 
     def encode(self, texts: list[str | None], end: int) -> Iterator[np.ndarray]:
         """The ids of each text, then ``end``."""
-        for at in range(0, len(texts), BATCH):
-            yield from self._encode([t or "" for t in texts[at : at + BATCH]], end)
-
-    def _encode(self, texts: list[str], end: int) -> Iterator[np.ndarray]:
-        if len(self.number) > REMEMBERED:
+        last = np.array([end], np.uint32)
+        held: list[tuple[int, bytes, int]] = []
+        whole: dict[int, str] = {}
+        size, first = 0, 0
+        for i, text in enumerate(texts):
+            text = text or ""
+            # White space at the very start is a run of its own.
+            if self.keeps_space and text[:1] in WHITE and text or any(s in text for s in self.special):
+                whole[i] = text
+                held.append((i, b"", FIRST))
+            else:
+                for part, before in _parts(text.encode("utf-8", "surrogatepass")):
+                    held.append((i, part, before))
+                    size += len(part) + 1
+            if size >= SLICE or i + 1 == len(texts):
+                yield from self._encode(texts, first, i + 1, held, whole, last)
+                held, whole, size, first = [], {}, 0, i + 1
+
+    def _encode(self, texts: list, first: int, stop: int, held: list[tuple[int, bytes, int]], whole: dict[int, str], last: np.ndarray) -> Iterator[np.ndarray]:
+        if len(self.numbers) > REMEMBERED:
             self.forget()
-        words: list[str] = []
-        whole, ends = [], []
-        for t in texts:
-            # A space before a line break, or white space at the very start, is a run of its own.
-            odd = self.keeps_space and (" \n" in t or t[:1] in WHITE or FIRST in t)
-            if not odd:
-                words += (FIRST + t.replace("\n", " \n")).split(" ") if self.keeps_space else t.replace("\n", " ").split(" ")
-            whole.append(odd)
-            ends.append(len(words))
-        distinct = set(words)
-        new = [w for w in distinct if w not in self.number]
-        if new:
-            self.learn(new)
-        # The words of a batch are looked up in a table of their own, which is small.
-        number = {w: self.number[w] for w in distinct}
-        w = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        parts: dict[int, list[np.ndarray]] = {i: [] for i in range(first, stop)}
+        at = 0
+        while at < len(held):
+            # Runs of about a slice; longer texts come in parts of that size.
+            to, size = at, 0
+            while to < len(held) and (to == at or size + len(held[to][1]) <= SLICE):
+                size += len(held[to][1]) + 1
+                to += 1
+            for (i, _, _), ids in zip(held[at:to], self._ids([h[1] for h in held[at:to]], [h[2] for h in held[at:to]]), strict=True):
+                if ids is None:
+                    whole.setdefault(i, texts[i])
+                else:
+                    parts[i].append(ids)
+            at = to
+        for i in range(first, stop):
+            if i in whole:
+                yield np.array([*self.tokenizer.encode(whole[i], add_special_tokens=False).ids, last[0]], np.uint32)
+            else:
+                yield np.concatenate([*parts[i], last])
+
+    def _ids(self, parts: list[bytes], before: list[int]) -> Iterator[np.ndarray | None]:
+        """The ids of each part, or None where its words don't tell them."""
+        data = b" ".join(parts) + b" "
+        b = np.frombuffer(data, np.uint8)
+        ends = np.flatnonzero((b == 32) | (b == 10))
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        up, down = powers(len(b) + 1)
+        hashes = []
+        for table in _BYTES:
+            total = np.zeros(len(b) + 1, np.uint64)
+            np.cumsum(table[b] * up[:-1], out=total[1:])
+            hashes.append((total[ends] - total[starts]) * down[starts])
+        lead = np.full(len(starts), SPACED, np.uint64)
+        lead[1:][b[ends[:-1]] == 10] = BROKEN
+        part_ends = np.searchsorted(ends, np.cumsum([len(p) + 1 for p in parts]))
+        part_starts = np.concatenate([[0], part_ends[:-1]])
+        lead[part_starts] = before
+        if not self.keeps_space:
+            lead[:] = FIRST
+        key = mix(hashes[0] + lead * np.uint64(0xD6E8FEB86659FD93))
+        check = mix(hashes[1] + (ends - starts).astype(np.uint64))
+
+        distinct, sample, place = np.unique(key, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, distinct)
+        new = at == len(self.keys)
+        new[~new] = self.keys[at[~new]] != distinct[~new]
+        if new.any():
+            fresh = sample[new]
+            self.learn([data[a:z].decode("utf-8", "surrogatepass") for a, z in zip(starts[fresh].tolist(), ends[fresh].tolist(), strict=True)], lead[fresh].tolist())
+            self.numbers = np.insert(self.numbers, at[new], np.arange(len(self.keys), len(self.keys) + len(fresh)))
+            self.checks = np.insert(self.checks, at[new], check[fresh])
+            self.keys = np.insert(self.keys, at[new], distinct[new])
+            at = np.searchsorted(self.keys, distinct)
+        w = self.numbers[at][place]
+        # Words of one hash that differ in the other would be mistaken for each other.
+        doubtful = self.unsafe[w] | (self.checks[at][place] != check)
         start, length = self.ends[w], self.ends[w + 1] - self.ends[w]
         done = np.cumsum(length)
-        ids = self.flat[np.repeat(start - done + length, length) + np.arange(done[-1] if len(done) else 0)]
-        spoilt = np.concatenate([[0], np.cumsum(self.unsafe[w])])
-        done = np.concatenate([[0], done])
-        last = np.array([end], np.uint32)
-        begin = 0
-        for text, odd, stop in zip(texts, whole, ends, strict=True):
-            if odd or spoilt[stop] > spoilt[begin]:
-                yield np.array([*self.tokenizer.encode(text, add_special_tokens=False).ids, end], np.uint32)
-            else:
-                yield np.concatenate([ids[done[begin] : done[stop]], last])
-            begin = stop
+        ids = self.flat[np.repeat(start - done + length, length) + np.arange(done[-1])]
+        done, spoilt = np.concatenate([[0], done]), np.concatenate([[0], np.cumsum(doubtful)])
+        for a, z in zip(part_starts, part_ends, strict=True):
+            yield None if spoilt[z] > spoilt[a] else ids[done[a] : done[z]]
+
+
+#: What each byte counts in the two hashes.
+_BYTES = (np.arange(1, 257, dtype=np.uint64), mix(np.arange(1, 257, dtype=np.uint64)))
+
+
+def _parts(data: bytes) -> Iterator[tuple[bytes, int]]:
+    """A text cut at spaces or line breaks into parts of about a slice, each with what precedes it."""
+    at, before = 0, FIRST
+    while len(data) - at > 2 * SLICE:
+        cuts = [i for i in (data.find(b" ", at + SLICE), data.find(b"\n", at + SLICE)) if i >= 0]
+        if not cuts:
+            break
+        cut = min(cuts)
+        yield data[at:cut], before
+        at, before = cut + 1, BROKEN if data[cut] == 10 else SPACED
+    yield data[at:], before
 
 
 def word_encoder(path: str) -> WordEncoder:

@@ -46,6 +46,11 @@ class _Powers:
         return cls.up[:n], cls.down[:n]
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base of hashes, and of its inverse."""
+    return _Powers.of(n)
+
+
 Edges = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 

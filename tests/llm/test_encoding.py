@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 from samples import ROWS
 
-from seriesloom.llm import words
+from tokenizers import Tokenizer
+
+from seriesloom.llm import encoding, words
 from seriesloom.llm.encoding import WHITE, WordEncoder, tokenizer_path
 
 TEXTS = [t for _, t in ROWS]
@@ -16,10 +18,31 @@ def test_ids_are_those_of_the_library(name):
     r = random.Random(1)
     letters = [*"ab'sSt1 2.!\n\t ", *WHITE, "́", "é", "Σ", "σ", "日", "\x1c", "\x00", "​", "<|endoftext|>", "  "]
     odd = ["".join(r.choices(letters, k=r.randint(0, 14))) for _ in range(5000)] + TEXTS
-    plain = encoder.tokenizer.encode_batch([t or "" for t in odd], add_special_tokens=False)
+    # The library as the contract calls it, special tokens in texts included.
+    plain = Tokenizer.from_file(tokenizer_path(name)).encode_batch([t or "" for t in odd], add_special_tokens=False)
     assert [list(i) for i in encoder.encode(odd, 1)] == [[*e.ids, 1] for e in plain]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_long_texts_in_parts_and_words_forgotten(name, monkeypatch):
+    monkeypatch.setattr(encoding, "SLICE", 40)
+    monkeypatch.setattr(encoding, "REMEMBERED", 30)
+    encoder = WordEncoder(tokenizer_path(name))
+    r = random.Random(2)
+    texts = ["".join(r.choices(["ab", "c,", "é!", " ", " ", "\n", "x" * 60, "don't"], k=r.randint(0, 120))) for _ in range(300)]
+    plain = Tokenizer.from_file(tokenizer_path(name)).encode_batch(texts, add_special_tokens=False)
+    assert [list(i) for i in encoder.encode(texts, 1)] == [[*e.ids, 1] for e in plain]
+
+
+def test_words_of_one_hash(monkeypatch):
+    """Where two words share the first hash, the texts go to the library."""
+    monkeypatch.setattr(encoding, "_BYTES", (np.ones(256, np.uint64), encoding._BYTES[1]))
+    name = tokenizer_path("byte_bpe_50k.json")
+    texts = ["one two six", "ten two", "abc abd", "six", "one"]
+    plain = Tokenizer.from_file(name).encode_batch(texts, add_special_tokens=False)
+    assert [list(i) for i in WordEncoder(name).encode(texts, 1)] == [[*e.ids, 1] for e in plain]
+
+
 def test_word_hashes(monkeypatch):
     data = [words.encoded(t) for t in TEXTS]
     got = {}
