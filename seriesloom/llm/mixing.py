@@ -14,7 +14,8 @@ hash) goes to the documents by a join with the table of sources, which Spark bro
 
 Defined cases: rows with a null source are a source of their own; a null or empty text has no tokens and
 is taken in whole passes only; rows equal in doc_id and text share a hash and are taken or left together;
-sources without tokens are taken once; an empty table gives no rows; all columns are kept.
+sources without tokens are taken once; an empty table gives no rows; all columns are kept, and where one already
+has the name of an added column, underscores are put behind the added one's.
 """
 
 from __future__ import annotations
@@ -98,6 +99,25 @@ def exponent(sources: DataFrame, target: Target, budget: float | None = None) ->
     return low if target.entropy is not None else high
 
 
+def plan(sources: DataFrame, power: float, budget: float | None = None) -> DataFrame:
+    """Per source with ``tokens`` and ``share``: ``weight``, ``blocks``, whole ``passes`` and what is ``left`` for the last one.
+
+    Without a budget the largest source is taken once and the others by the ratio of weights, which is at least one:
+    no rounding can take a document away.
+    """
+    z = sources.where("tokens > 0").agg(F.sum(F.pow("share", F.lit(power))).alias("z"), F.max("share").alias("high")).first()
+    weight = F.when(F.col("tokens") > 0, F.pow("share", F.lit(power)) / F.lit(z.z or 1.0))
+    if budget is None:
+        ratio = F.greatest(F.lit(1.0), F.pow(F.col("share") / F.lit(z.high or 1.0), F.lit(power - 1.0)))
+    else:
+        ratio = weight * F.lit(float(budget)) / F.col("tokens")
+    ratio = F.when(F.col("tokens") > 0, ratio).otherwise(1.0)
+    # A power of two, so that any odd step permutes the blocks.
+    blocks = F.least(F.lit(MOST_BLOCKS), F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.ceil(F.col("tokens") / BLOCK_TOKENS), F.lit(1)))))).cast("long")
+    whole = F.floor(ratio)
+    return sources.select("source", weight.alias("weight"), blocks.alias("blocks"), whole.alias("passes"), F.floor((ratio - whole) * F.col("tokens")).alias("left"))
+
+
 def cuts(docs: DataFrame, target: Target, budget: float | None = None, seed: int = 1) -> DataFrame:
     """Per source: ``weight``, whole ``passes``, ``blocks``, and up to which block rank and hash the last pass goes."""
     measured = stored(docs.select("source", tokens_of(F.col("text")).alias("tokens"), row_hash().alias("hash")))
@@ -105,19 +125,7 @@ def cuts(docs: DataFrame, target: Target, budget: float | None = None, seed: int
     all_tokens = totals.agg(F.sum("tokens").alias("n")).first().n or 0
     sources = stored(totals.withColumn("share", F.when(F.col("tokens") > 0, F.col("tokens") / F.lit(max(all_tokens, 1)))))
     power = exponent(sources, target, budget)
-    z = sources.where("tokens > 0").agg(F.sum(F.pow("share", F.lit(power))).alias("z"), F.max("share").alias("high")).first()
-    if budget is None and all_tokens:
-        budget = all_tokens * z.z * z.high ** (1 - power)
-    weight = F.when(F.col("tokens") > 0, F.pow("share", F.lit(power)) / F.lit(z.z or 1.0))
-    wanted = F.floor(weight * F.lit(float(budget or 0)) + F.lit(1e-6))
-    # A power of two, so that any odd step permutes the blocks.
-    blocks = F.least(F.lit(MOST_BLOCKS), F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.ceil(F.col("tokens") / BLOCK_TOKENS), F.lit(1)))))).cast("long")
-    planned = stored(
-        sources.withColumns({"weight": weight, "blocks": blocks})
-        .withColumn("passes", F.coalesce(F.floor(wanted / F.col("tokens")), F.lit(1)))
-        .withColumn("left", F.coalesce(wanted - F.col("passes") * F.col("tokens"), F.lit(0)))
-        .select("source", "weight", "blocks", "passes", "left")
-    )
+    planned = stored(plan(sources, power, budget))
     dealt = measured.where("tokens > 0").join(planned.where("left > 0").withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).withColumn("rank", rank(F.col("passes"), seed))
     by_block = dealt.groupBy("of", "rank", "left").agg(F.sum("tokens").alias("tokens"))
     until = Window.partitionBy("of").orderBy("rank")
@@ -140,12 +148,14 @@ def rank(turn: Column, seed: int = 1) -> Column:
 
 def mixed(docs: DataFrame, target: Target, budget: float | None = None, seed: int = 1) -> DataFrame:
     """``docs`` with each row as often as the mix takes it, and ``mix pass`` and ``mix block``: the pass, and the block's rank in it."""
-    plan = stored(cuts(docs, target, budget, seed))
+    taken = {c.lower() for c in docs.columns}
+    turn, block = (next(n for k in range(len(taken) + 1) if (n := name + "_" * k) not in taken) for name in ("mix pass", "mix block"))
+    planned = stored(cuts(docs, target, budget, seed))
     # The row travels as one struct, so that its columns can have any name.
     rows = docs.select(F.struct("*").alias("mix row"), F.col("source").alias("mix source"), row_hash().alias("hash"), tokens_of(F.col("text")).alias("tokens"))
-    rows = rows.join(plan, F.col("mix source").eqNullSafe(F.col("source")))
+    rows = rows.join(planned, F.col("mix source").eqNullSafe(F.col("source")))
     place = rank(F.col("passes"), seed)
     last = (F.col("tokens") > 0) & ((place < F.col("cut_rank")) | ((place == F.col("cut_rank")) & (F.col("hash") <= F.col("cut_hash"))))
     times = F.col("passes") + F.coalesce(last, F.lit(False)).cast("long")
     turns = rows.where(times > 0).withColumn("mix pass", F.explode(F.sequence(F.lit(0).cast("long"), times - 1)))
-    return turns.withColumn("mix block", rank(F.col("mix pass"), seed)).select("mix row.*", "mix pass", "mix block")
+    return turns.select("mix row.*", F.col("mix pass").alias(turn), rank(F.col("mix pass"), seed).alias(block))

@@ -1,7 +1,9 @@
 import math
+import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from samples import words
 
 from seriesloom.llm import mixing
@@ -86,3 +88,29 @@ def test_exponent_limits(spark):
     assert mixing.exponent(sources, mixing.Target(entropy=0.0)) == 1.0
     assert mixing.exponent(sources, mixing.Target(repeated=100.0)) == 0.0
     assert mixing.exponent(sources, mixing.Target(repeated=3.0)) == pytest.approx(0.5, abs=1e-6)
+
+
+def test_no_document_is_lost_at_any_size(spark):
+    """Shares of all kinds at 1e12 tokens: every source is passed over whole at least once, the largest exactly once."""
+    r = random.Random(1)
+    rows = []
+    for mix in range(200):
+        parts = [r.random() ** 3 + 1e-4 for _ in range(r.randrange(2, 9))]
+        rows.append([(f"{mix}.{i}", int(1e12 * p / sum(parts))) for i, p in enumerate(parts)])
+    for tokens in rows[:: 200 // 25]:
+        total = sum(n for _, n in tokens)
+        sources = spark.createDataFrame([(s, n, n / total) for s, n in tokens], "source string, tokens long, share double")
+        power = mixing.exponent(sources, mixing.Target(repeated=1.5))
+        got = {x.source: x for x in mixing.plan(sources, power).collect()}
+        most = max(tokens, key=lambda x: x[1])
+        for s, n in tokens:
+            assert got[s].passes >= 1 and 0 <= got[s].left < n
+            assert got[s].passes * n + got[s].left <= 1.5 * n * (1 + 1e-9)
+        assert (got[most[0]].passes, got[most[0]].left) == (1, 0)
+
+
+def test_columns_of_the_added_names(spark):
+    docs = table(spark, {"a": 30, "b": 6}).withColumn("mix pass", F.lit("x")).withColumn("Mix Block_", F.lit(1)).withColumn("mix block", F.lit(2))
+    mixed = mixing.mixed(docs, mixing.Target(repeated=2.0))
+    assert mixed.columns == [*docs.columns, "mix pass_", "mix block__"]
+    assert {r["mix pass"] for r in mixed.select("mix pass", "mix block__").collect()} == {"x"}
