@@ -2,14 +2,16 @@
 
 Calls and results meet in a hash join on conversation and call id. A call may refer to the result of another
 of its conversation by an argument ``{"$ref": id}``; it then comes after it. A call's level is the longest
-chain of references below it, found in rounds over the calls still waiting, one round per level; calls on a
-cycle, or that refer to a missing or waiting one, have none. Calls come by level and turn, each before its
+chain of references below it. Chains of calls with one reference each are shortened by doubling their pointers, so
+that their rounds grow with the logarithm of their length; what is left are calls with several references, taken in
+rounds of those whose references all have a level. Calls on a cycle, or that lead to a missing call, have none. Calls come by level and turn, each before its
 result. Arguments are checked against the tool's schema. Every call and result is a row of its own, so a
 conversation of any length is never gathered.
 
 Defined cases: of several calls or results of one id the first counts (least turn, then least text) and the
 others are kept with status ``repeated``; a result without a call is ``orphan``; arguments that are null or
-not a JSON object fail validation; rows with a null conversation or id link to nothing; turns of any role but
+not a JSON object (NaN, infinite numbers and values nested deeper than ``DEPTH`` are no JSON here) fail validation
+and are written as null; halves of surrogate pairs are written as escapes; of a key that occurs twice the last counts; rows with a null conversation or id link to nothing; turns of any role but
 user and assistant, also of none, are messages of their own that link to nothing; empty tables give no rows;
 columns beyond those named are left out.
 """
@@ -17,6 +19,8 @@ columns beyond those named are left out.
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
 from typing import Any
 
@@ -26,25 +30,47 @@ from pyspark.sql import functions as F
 
 from .shared import fields, need_columns, stored
 
-KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list}
+KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
+#: Levels of nesting that arguments may have.
+DEPTH = 200
+
+_HALVES = re.compile("[\ud800-\udfff]")
+
+
+def plain(text: str) -> str:
+    """Halves of surrogate pairs, which no table can hold, as escapes."""
+    return _HALVES.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
 
 
 def canonical(value: Any) -> str:
     """JSON with sorted keys, no spaces, and characters as they are."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return plain(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
+
+
+def is_kind(value: Any, kind: str) -> bool:
+    """Whether a value has a type by name; 1.0 is an integer, True is no number."""
+    if isinstance(value, bool) and kind in ("integer", "number"):
+        return False
+    return isinstance(value, KINDS.get(kind, object)) or kind == "integer" and isinstance(value, float) and value.is_integer()
 
 
-def faults(value: Any, schema: dict, at: str = "$") -> list[str]:
-    """What in ``value`` breaks the schema (type, enum, minimum, required, properties, items, additionalProperties)."""
+def faults(value: Any, schema: dict | bool, at: str = "$") -> list[str]:
+    """What in ``value`` breaks the schema (type, enum, minimum, required, properties, items, additionalProperties).
+
+    A type may be a list of types; a schema of true allows all, of false nothing.
+    """
     if isinstance(value, dict) and set(value) == {"$ref"}:
         return []
+    if isinstance(schema, bool):
+        return [] if schema else [f"{at}: not allowed"]
     kind = schema.get("type")
-    if kind and (not isinstance(value, KINDS[kind]) or isinstance(value, bool) and kind in ("integer", "number")):
-        return [f"{at}: not {kind}"]
+    kinds = [kind] if isinstance(kind, str) else kind or []
+    if kinds and not any(is_kind(value, k) for k in kinds):
+        return [f"{at}: not {' or '.join(kinds)}"]
     out = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in [canonical(v) for v in schema["enum"]]:
         out.append(f"{at}: not allowed")
-    if "minimum" in schema and isinstance(value, (int, float)) and value < schema["minimum"]:
+    if "minimum" in schema and is_kind(value, "number") and value < schema["minimum"]:
         out.append(f"{at}: too small")
     if isinstance(value, dict):
         known = schema.get("properties", {})
@@ -73,11 +99,29 @@ def references(value: Any) -> Iterator[str]:
             yield from references(v)
 
 
-def _loaded(text: str | None) -> Any:
+def _finite(text: str) -> float:
+    number = float(text)
+    if not math.isfinite(number):
+        raise ValueError(text)
+    return number
+
+
+def _refused(name: str) -> None:
+    raise ValueError(name)
+
+
+def loaded(text: str | None) -> Any:
+    """The value of a JSON text, None if it is none or nested too deep."""
     try:
-        return json.loads(text) if text is not None else None
-    except ValueError:
+        value = json.loads(text, parse_float=_finite, parse_constant=_refused) if text is not None else None
+    except (ValueError, RecursionError):
         return None
+    level = [value]
+    for _ in range(DEPTH):
+        level = [v for x in level if isinstance(x, (dict, list)) for v in (x.values() if isinstance(x, dict) else x)]
+        if not level:
+            return value
+    return None
 
 
 def _checked(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -87,7 +131,7 @@ def _checked(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         for batch in batches:
             bodies, wrong, refs = [], [], []
             for call_id, name, text in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
-                arguments = _loaded(text)
+                arguments = loaded(text)
                 if not isinstance(arguments, dict):
                     problems = ["$: not an object"]
                 elif name not in schemas:
@@ -95,8 +139,8 @@ def _checked(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
                 else:
                     problems = faults(arguments, schemas[name])
                 bodies.append(canonical({"arguments": arguments, "id": call_id, "name": name, "type": "call"}))
-                wrong.append("; ".join(problems))
-                refs.append(sorted(set(references(arguments))))
+                wrong.append(plain("; ".join(problems)))
+                refs.append(sorted({plain(r) for r in references(arguments)}))
             yield pa.record_batch({**{k: batch.column(i) for i, k in enumerate(("conv_id", "turn", "call_id"))}, "json": pa.array(bodies, pa.string()), "faults": pa.array(wrong, pa.string()), "refs": pa.array(refs, pa.list_(pa.string()))})
 
     kinds = dict(calls.dtypes)
@@ -121,22 +165,56 @@ def _first(rows: DataFrame) -> DataFrame:
     return rows.withColumn("first", known & (F.row_number().over(w) == 1))
 
 
+def chains(calls: DataFrame) -> tuple[DataFrame, int]:
+    """Where the chain of each call with one reference ends, and how many steps away; and the rounds it took.
+
+    ``conv_id``, ``call_id``, ``end`` (a call with no or several references, or a missing one) and ``steps``. Chains that run
+    into a cycle have no end and are left out.
+    """
+    pointers = stored(calls.where(F.size("refs") == 1).select("conv_id", "call_id", F.col("refs")[0].alias("end"), F.lit(1).cast("long").alias("steps"), F.lit(True).alias("open")))
+    longest = pointers.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    rounds = 0
+    # After so many doublings, whoever still runs has passed some call twice.
+    while 1 << rounds <= longest:
+        ahead = pointers.select(F.col("conv_id").alias("of"), F.col("call_id").alias("via"), F.col("end").alias("to"), F.col("steps").alias("more"))
+        met = pointers.where("open").join(ahead, F.expr("conv_id = of AND end = via"), "left")
+        moved = met.select("conv_id", "call_id", F.coalesce("to", "end").alias("end"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("via").isNotNull().alias("open"))
+        pointers = stored(moved.union(pointers.where("NOT open")))
+        rounds += 1
+        if pointers.where("open").isEmpty():
+            break
+    return pointers.where("NOT open").drop("open"), rounds
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """``conv_id``, ``call_id`` and ``level`` of all calls (``refs`` lists the ids they refer to) that can be ordered."""
-    done = stored(calls.where(F.size("refs") == 0).select("conv_id", "call_id", F.lit(0).alias("level")))
-    waiting = stored(calls.where(F.size("refs") > 0).select("conv_id", "call_id", "refs"))
-    level = 0
+    ends, _ = chains(calls)
+    level = F.lit(0).cast("long").alias("level")
+    known = calls.where(F.size("refs") == 0).select("conv_id", "call_id", level)
+    links = calls.where(F.size("refs") > 1).select("conv_id", "call_id", F.size("refs").alias("n"), F.explode("refs").alias("ref"))
+    tail = ends.select(F.col("conv_id").alias("of"), F.col("call_id").alias("via"), "end", "steps")
+    waiting = stored(links.join(tail, F.expr("conv_id = of AND ref = via"), "left").select("conv_id", "call_id", "n", F.coalesce("end", "ref").alias("end"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps")))
+    found = stored(known)
+    parts = [found]
     while not waiting.isEmpty():
-        level += 1
-        links = waiting.select("conv_id", "call_id", F.size("refs").alias("n"), F.explode("refs").alias("ref"))
-        known = done.select("conv_id", F.col("call_id").alias("ref"), F.col("level").alias("below"))
-        met = links.join(known, ["conv_id", "ref"]).groupBy("conv_id", "call_id", "n").agg(F.count("*").alias("found"))
-        ready = stored(met.where("found = n").select("conv_id", "call_id", F.lit(level).alias("level")))
-        if ready.isEmpty():
+        base = found.select(F.col("conv_id").alias("of"), F.col("call_id").alias("via"), "level")
+        # A link that has met its level keeps it; only levels new in the last round are looked up.
+        met = waiting.join(base, F.expr("conv_id = of AND end = via"), "left")
+        if "below" not in waiting.columns:
+            met = met.withColumn("below", F.col("level") + F.col("steps"))
+        else:
+            met = met.withColumn("below", F.coalesce("below", F.col("level") + F.col("steps")))
+        met = stored(met.select("conv_id", "call_id", "n", "end", "steps", "below"))
+        found = stored(met.groupBy("conv_id", "call_id", "n").agg(F.count("below").alias("met"), F.max("below").alias("level")).where("met = n").select("conv_id", "call_id", "level"))
+        if found.isEmpty():
             break
-        done = stored(done.union(ready))
-        waiting = stored(waiting.join(ready.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti"))
-    return done
+        parts.append(found)
+        waiting = stored(met.join(found.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti"))
+    for part in parts[1:]:
+        known = known.union(part)
+    base = known.select(F.col("conv_id").alias("of"), F.col("call_id").alias("via"), "level")
+    along = ends.join(base, F.expr("conv_id = of AND end = via")).select("conv_id", "call_id", (F.col("level") + F.col("steps")).alias("level"))
+    return known.union(along).withColumn("level", F.col("level").cast("int"))
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:

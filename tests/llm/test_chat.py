@@ -1,4 +1,6 @@
 import json
+import random
+from collections import defaultdict
 
 from seriesloom.llm import chat, queries
 
@@ -66,3 +68,79 @@ def test_query_keeps_all_turns(spark):
 
 def test_empty_tables(spark):
     assert chat.linked(spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS), TOOL).count() == 0
+
+
+def expected(calls, results):
+    """(conv, turn, kind, id, level, status) of every row, by following references one by one."""
+    first, answers = {}, {}
+    for conv, turn, i, _, arguments in sorted(calls, key=lambda c: (c[1], c[4])):
+        if conv is not None and i is not None:
+            first.setdefault((conv, i), (turn, arguments))
+    for conv, turn, i, content in sorted(results, key=lambda r: (r[1], chat.canonical({"content": r[3], "id": r[2], "type": "result"}))):
+        if conv is not None and i is not None:
+            answers.setdefault((conv, i), (turn, content))
+    refs = {k: [(k[0], r) for r in set(chat.references(chat.loaded(a)))] for k, (_, a) in first.items()}
+    level = {}
+    for _ in range(len(refs) + 1):
+        level |= {k: 1 + max((level[r] for r in rs), default=-1) for k, rs in refs.items() if k not in level and all(r in level for r in rs)}
+    out = []
+    seen = defaultdict(int)
+    for conv, turn, i, name, arguments in calls:
+        k = (conv, i)
+        ours = first.get(k) == (turn, arguments) and not seen[k, "call"]
+        seen[k, "call"] += ours
+        value = chat.loaded(arguments)
+        good = isinstance(value, dict) and name in TOOL and not chat.faults(value, TOOL[name])
+        null = conv is None or i is None
+        status = "repeated" if null or not ours else "invalid" if not good else "unordered" if k not in level else "ok" if k in answers else "unanswered"
+        out.append((conv, turn, "call", i, level.get(k) if ours and not null else None, status))
+    for conv, turn, i, content in results:
+        k = (conv, i)
+        ours = answers.get(k) == (turn, content) and not seen[k, "result"]
+        seen[k, "result"] += ours
+        status = "orphan" if k not in first else "ok" if ours else "repeated"
+        out.append((conv, turn, "result", i, level.get(k) if k in first else None, status))
+    return sorted(out, key=repr)
+
+
+def test_random_calls_against_following_references(spark):
+    r = random.Random(8)
+    calls, results = [], []
+    for conv in [*range(25), None]:
+        ids = [f"c{i}" for i in range(r.randrange(1, 14))]
+        for turn, i in enumerate([*ids, *r.choices(ids, k=2), None]):
+            to = [{"$ref": r.choice([*ids, "none"]) if r.random() < 0.15 else r.choice(ids[: max(1, turn)])} for _ in range(r.choice([0, 1, 1, 1, 2, 3]))]
+            arguments = r.choice([json.dumps({"q": "x", "on": {"of": to}})] * 6 + [json.dumps({"on": to}), "[1]", None])
+            calls.append((conv, turn, i, r.choice(["find"] * 9 + ["lose"]), arguments or "null"))
+        results += [(conv, 100 + n, i, f"r{n}") for n, i in enumerate(r.choices([*ids, "none", None], k=8))]
+    rows = chat.linked(spark.createDataFrame([(*c, "") for c in calls], CALLS), spark.createDataFrame(results, RESULTS), TOOL).collect()
+    assert sorted(((x.conv_id, x.turn, x.kind, x.call_id, x.level, x.status) for x in rows), key=repr) == expected(calls, results)
+
+
+def test_long_chains_take_few_rounds(spark):
+    """1,000 calls in a row, one of them with two references, and a ring of 5."""
+    rows = [(1, f"c{i}", [f"c{i - 1}"] if i else []) for i in range(1000)]
+    rows[500] = (1, "c500", ["c499", "c3"])
+    rows += [(2, f"c{i}", [f"c{(i + 1) % 5}"]) for i in range(5)] + [(2, "in", ["c0"])]
+    table = spark.createDataFrame(rows, "conv_id long, call_id string, refs array<string>")
+    ends, rounds = chat.chains(table)
+    assert rounds <= 12 and ends.count() == 998
+    got = {(r.conv_id, r.call_id): r.level for r in chat.levels(table).collect()}
+    assert got == {(1, f"c{i}"): i for i in range(1000)}
+
+
+def test_odd_json(spark):
+    tool = {"t": {"type": ["object", "null"], "properties": {"s": {"type": ["string", "null"]}, "n": {"type": "integer"}, "e": {"enum": [1, None]}, "no": False, "any": True, "odd": {"type": "colour"}}}}
+    texts = [
+        '{"s": "\\ud800"}', "[" * 100_000 + "]" * 100_000, '{"a":' * 300 + "1" + "}" * 300, '{"n": NaN}', '{"n": 1e999}', '{"n": -Infinity}',
+        '{"s": null, "n": 2.0, "e": null, "any": [1], "odd": 3}', '{"e": true}', '{"no": 1}', '{"\\udfff": {"$ref": "\\ud801"}}', '{"n": true}', '{"n":' + "9" * 5000 + "}", '{"s": "\\ud83d\\ude00"}',
+    ]
+    calls = spark.createDataFrame([(1, n, f"c{n}", "t", t, "") for n, t in enumerate(texts)], CALLS)
+    rows = {r.turn: r for r in chat.linked(calls, spark.createDataFrame([], RESULTS), tool).collect()}
+    for r in rows.values():
+        json.loads(r.json, parse_constant=lambda c: 1 / 0)
+    fine = {n: (r.faults == "", r.status) for n, r in rows.items()}
+    assert {n for n, (ok, _) in fine.items() if ok} == {0, 6, 9, 12}
+    assert "\\ud800" in rows[0].json and "😀" in rows[12].json and fine[9][1] == "unordered"
+    assert rows[7].faults == "$.e: not allowed" and rows[10].faults == "$.n: not integer"
+    assert json.loads(rows[2].json)["arguments"] is None
