@@ -13,7 +13,7 @@ returned manifest count, so the files of lost or repeated tasks are never read.
 
 Defined cases: a null or empty text is its end id alone; a null doc_id comes first; rows of one doc_id go by
 a hash of their text; an empty table gives an empty manifest; columns other than ``doc_id`` and ``text``
-are left out. With too few or too uniform texts to train on there is no dictionary, and its hash is empty.
+are left out; a ``doc_id`` that is no integer is refused. With too few or too uniform texts to train on there is no dictionary, and its hash is empty.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .encoding import word_encoder
 from .shared import fields, need_columns, shared_folder, stored
@@ -81,6 +82,8 @@ def train_dictionary(docs: DataFrame, tokenizer: str, width: int, end: int = END
 def write(docs: DataFrame, folder: str, tokenizer: str, end: int = END_ID, vocabulary: int = 49_408) -> DataFrame:
     """Write all documents below ``folder``; the manifest has a row per file: its path, order and number of ids."""
     docs = need_columns(docs, ["doc_id", "text"])
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        raise ValueError("doc_id must be an integer")
     width = 2 if max(vocabulary, end + 1) <= 1 << 16 else 4
     dictionary = train_dictionary(docs, tokenizer, width, end)
     digest = hashlib.sha256(dictionary).hexdigest() if dictionary else ""

@@ -192,13 +192,16 @@ def notices(text: str | None, scanner: Scanner, runs: Runs) -> list[tuple[float,
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: int = LEAST, full: list[tuple[str, str]] = FULL) -> DataFrame:
-    """Per row: ``doc_id``, ``n_notices`` (passages and runs that match), and of the best one its ``license``, ``dice`` and ``passage`` (line from 1, of a run the one it begins in; 0: the text)."""
+    """Per row: ``doc_id``, ``n_notices`` (passages and runs that match), and of the best one its ``license``, ``dice`` and ``passage`` (line from 1, of a run the one it begins in; 0: the text).
+
+    ``notices`` lists all of them as (license, dice, passage), in the order of the text, the whole text last.
+    """
     docs = need_columns(docs, ["doc_id", "text"])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner, runs = Scanner(templates, least), Runs([*templates, *full], least)
         for batch in batches:
-            counts, names, dices, places = [], [], [], []
+            counts, names, dices, places, every = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 hits = notices(text, scanner, runs)
                 top = max(hits, default=None)
@@ -206,6 +209,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: i
                 names.append(top and top[3])
                 dices.append(top and top[0])
                 places.append(top and top[4])
-            yield pa.record_batch({"doc_id": batch.column(0), "n_notices": pa.array(counts, pa.int64()), "license": pa.array(names, pa.string()), "dice": pa.array(dices, pa.float64()), "passage": pa.array(places, pa.int64())})
+                every.append([{"license": h[3], "dice": h[0], "passage": h[4]} for h in sorted(hits, key=lambda h: (h[4] == 0, h[4], h[3], -h[0]))])
+            columns = {"doc_id": batch.column(0), "n_notices": pa.array(counts, pa.int64()), "license": pa.array(names, pa.string()), "dice": pa.array(dices, pa.float64()), "passage": pa.array(places, pa.int64())}
+            yield pa.record_batch(columns | {"notices": pa.array(every, pa.list_(pa.struct({"license": pa.string(), "dice": pa.float64(), "passage": pa.int64()})))})
 
-    return docs.mapInArrow(look, fields(doc_id=dict(docs.dtypes)["doc_id"], n_notices="long", license="string", dice="double", passage="long"))
+    return docs.mapInArrow(look, fields(doc_id=dict(docs.dtypes)["doc_id"], n_notices="long", license="string", dice="double", passage="long", notices="array<struct<license:string,dice:double,passage:bigint>>"))

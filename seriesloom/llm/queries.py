@@ -85,7 +85,8 @@ def op3_lm(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_mixing")
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    rows = mixing.mixed(table(spark, folder, "documents"), mixing.Target(repeated=mixing.REPEATED))
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source", "n_chars")
+    rows = mixing.mixed(docs, mixing.Target(repeated=mixing.REPEATED))
     return rows.select("doc_id", "source", "n_chars", F.col("mix pass").alias("pass"), F.col("mix block").alias("block"))
 
 
@@ -100,21 +101,25 @@ lines AS (
 words AS (SELECT doc_id, place, {_BARE.format('p')} AS w FROM lines),
 pg AS (
   SELECT doc_id, place, list_distinct(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) AS g FROM words
-  WHERE len(w) BETWEEN 2 AND 3000),
+  WHERE len(w) >= 2),
 hits AS (
   SELECT doc_id, place, i, name, 2 * len(list_intersect(pg.g, tg.g)) / (len(pg.g) + len(tg.g)) AS dice
   FROM pg JOIN tg ON len(pg.g) * {200 - licenses.LEAST} >= {licenses.LEAST} * len(tg.g) AND len(tg.g) * {200 - licenses.LEAST} >= {licenses.LEAST} * len(pg.g)
   WHERE 200 * len(list_intersect(pg.g, tg.g)) >= {licenses.LEAST} * (len(pg.g) + len(tg.g))),
 best AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, place = 0, place, i) AS r FROM hits),
-counted AS (SELECT doc_id, count(DISTINCT place) AS n FROM hits GROUP BY 1)
-SELECT d.doc_id, coalesce(c.n, 0) AS n_notices, b.name AS license, b.dice, b.place AS passage
+here AS (SELECT *, row_number() OVER (PARTITION BY doc_id, place ORDER BY dice DESC, i) AS r FROM hits),
+counted AS (
+  SELECT doc_id, count(*) AS n, string_agg(name || ':' || place, ' ' ORDER BY place = 0, place, name) AS notices
+  FROM here WHERE r = 1 GROUP BY 1)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_notices, b.name AS license, b.dice, b.place AS passage, coalesce(c.notices, '') AS notices
 FROM documents d LEFT JOIN counted c ON c.doc_id = d.doc_id LEFT JOIN best b ON b.doc_id = d.doc_id AND b.r = 1"""
 
 
 @query("op5_licenses", OP5_SQL)
 def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    return licenses.scan(table(spark, folder, "documents"))
+    listed = F.array_join(F.transform("notices", lambda n: F.concat_ws(":", n["license"], n["passage"])), " ")
+    return licenses.scan(table(spark, folder, "documents")).withColumn("notices", listed)
 
 
 @query("op6_fingerprints")

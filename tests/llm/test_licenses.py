@@ -89,3 +89,12 @@ def test_runs_reach_the_best_score():
 
 def test_empty_table(docs):
     assert licenses.scan(docs([])).count() == 0
+
+
+def test_all_notices_are_listed(docs):
+    mit, cc = licenses.TEMPLATES[2][1], "Licensed under CC BY 4.0."
+    rows = [(1, words(30, 1) + "\n" + cc + "\n" + words(30, 2) + "\n" + mit + "\n" + cc), (2, words(30, 3))]
+    got = {r.doc_id: r for r in licenses.scan(docs(rows)).collect()}
+    assert [(n.license, n.passage) for n in got[1].notices] == [("CC-BY-4.0", 2), (licenses.TEMPLATES[2][0], 4), ("CC-BY-4.0", 5)]
+    assert got[1].n_notices == 3 and min(n.dice for n in got[1].notices) >= licenses.LEAST / 100
+    assert got[2].notices == []

@@ -2,6 +2,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from samples import ROWS
 
 from seriesloom.llm import idfiles, packing
@@ -91,3 +92,9 @@ def test_id_files_with_a_dictionary(spark, docs):
         head, _ = idfiles.read_footer(f)
     assert head["dictionary"] and idfiles.read_dictionary(folder, head["dictionary"])
     assert idfiles.read(spark, manifest).count() == 400
+
+
+def test_string_ids_are_refused(spark):
+    rows = spark.createDataFrame([("a", "x")], "doc_id string, text string")
+    with pytest.raises(ValueError, match="integer"):
+        idfiles.write(rows, idfiles.new_folder(spark), tokenizer_path("word_bpe_49k.json"))
