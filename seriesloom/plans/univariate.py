@@ -31,7 +31,7 @@ def study(
     horizon: int,
     ahead: int,
     grids: Mapping[str, Grid],
-    orders: Sequence[tuple[int, int, int, int]] | None = None,
+    orders: Sequence[order_search.Order] | None = None,
     init: str = "simple",
     period: int = 12,
     every: str = "month",

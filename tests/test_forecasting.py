@@ -242,39 +242,93 @@ def test_the_first_of_equal_errors_wins(spark):
 # --- orders -------------------------------------------------------------------------
 
 
-def regression_aic(y, p, d, sp, sd, period=12):
-    w = np.asarray(y, dtype=float)
+def least_squares(x, w):
+    """Coefficients, errors and squared error, columns that add nothing left out."""
+    b = np.linalg.lstsq(x, w, rcond=None)[0]
+    left = w - x @ b
+    return b, left @ left
+
+
+def fitted_order(y, order, listed, ahead=0, period=12):
+    """(n, AIC, coefficients by term, errors, forecasts) of an order by plain loops, or None where it can't be fitted."""
+    p, d, q, sp, sd, sq = order
+    y = np.asarray(y, dtype=float)
+    mean = y.mean()
+    w = y - mean
     for _ in range(sd):
-        w = w[period:] - w[:-period]
-    w = np.diff(w, n=d)
-    lags = [*range(1, p + 1), *([period] if sp else [])]
-    first, mean = max(lags, default=0), d + sd == 0
-    n, k = len(w) - first, len(lags) + mean
-    if n <= k + 1:
+        w = np.concatenate([np.full(period, np.nan), w[period:] - w[:-period]])[-len(y) :] if len(w) > period else np.full(len(w), np.nan)
+    for _ in range(d):
+        w = np.concatenate([[np.nan], np.diff(w)])
+    n = len(w)
+    back = lambda v, k: np.concatenate([np.full(min(k, n), np.nan), v[: max(0, n - k)]])
+    c = np.full(n, float(d + sd == 0))
+    e = np.zeros(n)
+    most = [max(o[i] for o in listed) for i in range(6)]
+    if most[2] or most[5]:
+        x = np.column_stack([c, *(back(w, k) for k in range(1, orders.LONG + 1))])
+        ok = np.isfinite(x).all(axis=1) & np.isfinite(w)
+        e = w - x @ least_squares(x[ok], w[ok])[0] if ok.any() else np.full(n, np.nan)
+    lags = [back(w, k) if most[0] >= k else 0 * c for k in (1, 2, 3)] + [back(w, period) if most[3] else 0 * c]
+    lags += [back(e, k) if most[2] >= k else 0 * c for k in (1, 2, 3)] + [back(e, period) if most[5] else 0 * c]
+    whole = np.column_stack([c, *lags])
+    ok = np.isfinite(whole).all(axis=1) & np.isfinite(w)
+    used = [d + sd == 0, p >= 1, p >= 2, p >= 3, sp > 0, q >= 1, q >= 2, q >= 3, sq > 0]
+    x, m, k = whole[ok][:, used], int(ok.sum()), sum(used)
+    if m <= k + 1:
         return None
-    x = np.column_stack([*([np.ones(n)] if mean else []), *(w[first - i : len(w) - i] for i in lags), np.zeros(n)])
-    left = w[first:] - x @ np.linalg.lstsq(x, w[first:], rcond=None)[0]
-    return n * np.log(left @ left / n) + 2 * (k + 1)
-
-
-@pytest.mark.parametrize("listed", [orders.arima_orders(4), orders.sarima_orders(2)])
-def test_orders_equal_regressions(spark, listed):
+    b, squares = least_squares(np.column_stack([x, np.zeros(m)]), w[ok])
+    if not squares > 0:
+        return None
+    errors = np.sqrt(squares / (m - k) * np.diag(np.linalg.inv(x.T @ x))) if k else np.zeros(0)
+    full = np.zeros(9)
+    full[used] = b[:k]
+    ws, es, ys = list(w), list(e), list(y - mean)
+    weights = orders.polynomial(d, sd, period)
+    for _ in range(ahead):
+        value = full[0] * (d + sd == 0) + sum(full[i] * ws[-i] + full[4 + i] * es[-i] for i in (1, 2, 3) if full[i] or full[4 + i])
+        value += (full[4] * ws[-period] if full[4] else 0) + (full[8] * es[-period] if full[8] else 0)
+        ys.append(value + sum(a * ys[-i] for i, a in enumerate(weights, 1)))
+        ws.append(value)
+        es.append(0.0)
+    return m, m * np.log(squares / m) + 2 * (k + 1), full, errors, np.array(ys[len(y) :]) + mean
+
+
+@pytest.mark.parametrize("listed", [orders.arima_orders(4), orders.sarima_orders(2), [(2, 1, 0, 0, 0, 0), (0, 0, 0, 1, 0, 0), (1, 0, 0, 0, 0, 0)]])
+def test_orders_equal_two_round_regressions(spark, listed):
     series = {"air": [float(v) for v in PASSENGERS], "short": [1.0, 2.0, 4.0, 3.0, 5.0, 4.0, 6.0], "one": [3.0]}
-    rows = orders.order_scores(panel_of(spark, series), listed, holdout=2).collect()
+    rows = orders.holdout_errors(orders.order_fits(panel_of(spark, series), listed, holdout=2, horizon=2)).collect()
     assert len(rows) == 3 * len(listed)
     for r in rows:
-        want = regression_aic(series[r["k"]][:-2], r["p"], r["d"], r["sp"], r["sd"])
-        assert (r["aic"] is None) == (want is None) == (r["status"] != "ok")
-        if want is not None:
-            assert r["aic"] == pytest.approx(want, rel=1e-6, abs=1e-5)
-
-
-def test_best_order_of_every_series(spark):
+        y = series[r["k"]]
+        want = fitted_order(y[:-2], tuple(r[n] for n in orders.NAMES), listed, 2) if len(y) > 2 else None
+        assert (r["aic"] is None) == (want is None) == (r["status"] != "ok"), (r, want)
+        if want is None or r["k"] != "air":
+            continue
+        n, aic, full, errors, forecast = want
+        assert r["n"] == n and r["aic"] == pytest.approx(aic, rel=1e-6, abs=1e-5)
+        assert r["b"] == pytest.approx(list(full), rel=1e-5, abs=1e-6)
+        assert [x for x in r["errors"] if x] == pytest.approx([*errors], rel=1e-5)
+        assert r["forecast"] == pytest.approx(list(forecast), rel=1e-6)
+        assert r["mae"] == pytest.approx(np.abs(forecast - y[-2:]).mean(), rel=1e-5, abs=1e-6)
+
+
+def test_best_orders_coefficients_and_refit(spark):
     series = {"air": [float(v) for v in PASSENGERS], "one": [3.0]}
-    listed = orders.sarima_orders(2)
-    best = {r["k"]: r for r in orders.best_order(orders.order_scores(panel_of(spark, series), listed, 24), KEYS).collect()}
-    wanted = min(listed, key=lambda o: regression_aic(PASSENGERS[:120], *o))
-    assert tuple(best["air"][n] for n in orders.NAMES) == wanted and best["one"]["status"] == "no usable error"
+    listed, panel = orders.sarima_orders(2), panel_of(spark, series)
+    fits = orders.holdout_errors(orders.order_fits(panel, listed, 24, horizon=24))
+    found = {o: fitted_order(PASSENGERS[:120], o, listed, 24) for o in listed}
+    for metric, score in (("aic", lambda f: f[1]), ("mae", lambda f: np.abs(f[4] - np.array(PASSENGERS[120:])).mean())):
+        best = {r["k"]: r for r in orders.best_order(fits, KEYS, metric).collect()}
+        wanted = min(listed, key=lambda o: score(found[o]))
+        assert tuple(best["air"][n] for n in orders.NAMES) == wanted and best["one"]["status"] == "no usable error"
+    chosen = orders.best_order(fits, KEYS)
+    again = orders.refitted(panel, chosen, listed, horizon=6)
+    rows = orders.forecasts(again, KEYS).orderBy("step").collect()
+    order = min(listed, key=lambda o: found[o][1])
+    assert [r["prediction"] for r in rows] == pytest.approx(list(fitted_order(PASSENGERS, order, listed, 6)[4]), rel=1e-6)
+    table = orders.coefficient_table(again, KEYS).collect()
+    assert len(table) == sum(order[i] for i in (0, 2, 3, 5)) + (order[1] + order[4] == 0)
+    assert all(r["error"] > 0 for r in table)
 
 
 # --- unit roots ----------------------------------------------------------------------
@@ -323,7 +377,7 @@ def test_study_of_a_series_with_a_gap(spark):
         "single": Grid({"alpha": STEP_20}),
         "triple": Grid({"alpha": STEP_20, "beta": STEP_20, "gamma": STEP_20}),
     }
-    found = study(holed, 24, 6, grids, orders=[(0, 1, 0, 0), (1, 1, 0, 0), (0, 1, 1, 0), (1, 1, 1, 1)])
+    found = study(holed, 24, 6, grids, orders=[(0, 1, 0, 0, 0, 0), (1, 1, 0, 0, 0, 0), (0, 1, 0, 1, 0, 0), (1, 1, 1, 1, 1, 1)])
     assert found.filled.df.count() == 144
     errors = {r["method"]: r["mae"] for r in found.methods.collect()}
     assert errors["triple"] < 20 < errors["single"]
