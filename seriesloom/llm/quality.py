@@ -20,8 +20,6 @@ from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,8 +173,100 @@ def platt(scores: np.ndarray, good: np.ndarray, rounds: int = 50) -> tuple[float
     return float(at[0]), float(at[1])
 
 
+@dataclass(frozen=True)
+class Rows:
+    """Some rows in a row: where each begins, and the cells and values of all."""
+
+    starts: np.ndarray
+    cells: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def of(cls, cells: pa.ListArray, values: pa.ListArray) -> Rows:
+        flat = cells.flatten().to_numpy(), values.flatten().to_numpy()
+        return cls(np.append(0, np.cumsum(np.diff(cells.offsets.to_numpy()))), flat[0].astype(np.int32), flat[1].astype(np.float32))
+
+    @property
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.starts)
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self.starts) - 1)
+        some = self.sizes > 0
+        if some.any():
+            out[some] = np.add.reduceat(w[self.cells] * self.values, self.starts[:-1][some])
+        return out
+
+    def spread(self, error: np.ndarray, size: int) -> np.ndarray:
+        return np.bincount(self.cells, self.values * np.repeat(error, self.sizes), size)
+
+
+def fit_weights(blocks: list[Rows], good: np.ndarray, counts: np.ndarray, size: int, rounds: int = ROUNDS, memory: int = 10) -> np.ndarray:
+    """Logistic regression with a squared penalty by L-BFGS: a weight for each cell, then the offset, which is not penalised.
+
+    Only rows with ``counts`` 1 count. Data stays in its blocks, and sums over it are made block by block.
+    """
+    n = max(1.0, counts.sum())
+    cuts = np.cumsum([len(b.starts) - 1 for b in blocks])[:-1]
+    sign = np.where(good == 1, 1.0, -1.0)
+
+    def margins(w: np.ndarray) -> np.ndarray:
+        return np.concatenate([b.dot(w) for b in blocks]) + w[-1]
+
+    def loss(m: np.ndarray, w: np.ndarray) -> float:
+        return float(np.logaddexp(0, -sign * m) @ counts / n + PENALTY / 2 * (w[:-1] @ w[:-1]))
+
+    def slope(m: np.ndarray, w: np.ndarray) -> np.ndarray:
+        error = -sign * counts / (1 + np.exp(np.clip(sign * m, -500, 500))) / n
+        out = PENALTY * w
+        for b, e in zip(blocks, np.split(error, cuts), strict=True):
+            out[:-1] += b.spread(e, size)
+        out[-1] = error.sum()
+        return out
+
+    w = np.zeros(size + 1)
+    m = margins(w)
+    at, g = loss(m, w), slope(m, w)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(rounds):
+        way, used = -g, []
+        for s, y in reversed(steps):
+            used.append(s @ way / (s @ y))
+            way = way - used[-1] * y
+        if steps:
+            way = way * ((steps[-1][0] @ steps[-1][1]) / (steps[-1][1] @ steps[-1][1]))
+        for (s, y), a in zip(steps, reversed(used), strict=True):
+            way = way + (a - y @ way / (s @ y)) * s
+        # Margins are linear along the way, so that trying a step costs no pass over the data.
+        ahead, length = margins(way), 1.0
+        while loss(m + length * ahead, w + length * way) > at + 1e-4 * length * (g @ way) and length > 1e-8:
+            length /= 2
+        s = length * way
+        w, m = w + s, m + length * ahead
+        before, y = at, slope(m, w) - g
+        at, g = loss(m, w), g + y
+        if s @ y > 1e-12 * (y @ y):
+            steps = [*steps, (s, y)][-memory:]
+        if before - at < 1e-9 * max(1.0, abs(before)):
+            break
+    return w
+
+
+def fitted(blocks: list[Rows], quality: np.ndarray, fit: np.ndarray) -> Model | None:
+    """A model of sampled rows: weights from those that ``fit``, calibration from the others."""
+    if len({*zip(quality.tolist(), fit.tolist(), strict=True)}) < 4:
+        return None
+    found = fit_weights(blocks, quality, fit.astype(float), 1 << BITS)
+    margins = np.concatenate([b.dot(found) for b in blocks]) + found[-1]
+    slope, shift = platt(margins[~fit], quality[~fit])
+    return Model(found[:-1] * SCALE, float(found[-1]), slope, shift)
+
+
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAINED_ON) -> Model | None:
-    """A model of the labelled sample; None if it lacks one of the two labels."""
+    """A model of the labelled sample; None if it lacks one of the two labels.
+
+    The sample is bounded, and one task fits it.
+    """
     labels = need_columns(labels, ["doc_id", "quality"]).where("quality IN (0, 1) AND doc_id IS NOT NULL")
     # At most ``most`` rows, whatever the size of the tables.
     chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
@@ -186,29 +276,27 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINED_ON) -> Model |
             for run in runs(batch.column(0).to_pylist()):
                 part = batch.slice(run.first, len(run.data))
                 cells, values = zip(*run.vectors(), strict=True)
-                yield pa.record_batch({"quality": part.column(1), "fit": part.column(2), "cells": pa.array(cells, pa.list_(pa.int32())), "values": pa.array(values, pa.list_(pa.float64()))})
-
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("text", F.col("quality").cast("double").alias("quality"), (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) > 0).alias("fit"))
-    sample = stored(rows.mapInArrow(vectors, fields(quality="double", fit="boolean", cells="array<int>", values="array<double>")))
-    present = {(r.fit, r.quality) for r in sample.select("fit", "quality").distinct().collect()}
-    if len(present) < 4:
-        return None
-    size = 1 << BITS
-    sparse = F.udf(lambda cells, values: Vectors.sparse(size, cells, [SCALE * v for v in values]), VectorUDT())
-    points = sample.where("fit").select(sparse("cells", "values").alias("features"), F.col("quality").alias("label")).coalesce(6).cache()
-    fitted = LogisticRegression(regParam=PENALTY, standardization=False, maxIter=ROUNDS).fit(points)
-    points.unpersist()
-    weights = fitted.coefficients.toArray() * SCALE
+                yield pa.record_batch({"quality": part.column(1), "fit": part.column(2), "key": part.column(3), "cells": pa.array(cells, pa.list_(pa.int32())), "values": pa.array([SCALE * v for v in values], pa.list_(pa.float32()))})
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quality, fit, blocks = [], [], []
         for batch in batches:
-            scores = [float(weights[np.array(c, np.int64)] @ np.array(v)) for c, v in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            yield pa.record_batch({"quality": batch.column(0), "score": pa.array(scores, pa.float64())})
-
-    rest = sample.where("NOT fit").select("quality", "cells", "values").mapInArrow(judge, fields(quality="double", score="double")).toPandas()
-    offset = float(fitted.intercept)
-    slope, shift = platt(rest["score"].to_numpy() + offset, rest["quality"].to_numpy())
-    return Model(weights, offset, slope, shift)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                quality += part.column(0).to_pylist()
+                fit += part.column(1).to_pylist()
+                blocks.append(Rows.of(part.column(2), part.column(3)))
+        model = fitted(blocks, np.array(quality), np.array(fit, bool)) if quality else None
+        if model:
+            yield pa.record_batch({"weights": pa.array([model.weights.tobytes()], pa.binary()), **{k: pa.array([getattr(model, k)]) for k in ("offset", "slope", "shift")}})
+
+    marked = (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) > 0).alias("fit")
+    rows = docs.join(F.broadcast(chosen), "doc_id").select("text", F.col("quality").cast("double").alias("quality"), marked, F.xxhash64("doc_id", "text").alias("key"))
+    found = stored(rows.mapInArrow(vectors, fields(quality="double", fit="boolean", key="long", cells="array<int>", values="array<float>")))
+    # An id may stand on many documents: the pairs are bounded as well.
+    sample = found.orderBy("key", "quality").limit(most).repartition(1).sortWithinPartitions("key", "quality")
+    model = sample.select("quality", "fit", "cells", "values").mapInArrow(learn, fields(weights="binary", offset="double", slope="double", shift="double")).first()
+    return model and Model(np.frombuffer(model.weights), model.offset, model.slope, model.shift)
 
 
 def judged(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None) -> DataFrame:

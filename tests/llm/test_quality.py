@@ -78,3 +78,25 @@ def test_platt():
     good = (np.random.default_rng(2).random(400) < 1 / (1 + np.exp(-(2 * x + 0.5)))).astype(float)
     slope, shift = quality.platt(x, good)
     assert slope == pytest.approx(2, abs=0.5) and shift == pytest.approx(0.5, abs=0.4)
+
+
+def test_fit_is_the_least_loss():
+    """At the weights found no cell's slope is left; rows that don't count change nothing."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    cells = [np.unique(rng.integers(0, 300, rng.integers(0, 40))).astype(np.int32) for _ in range(700)]
+    values = [rng.random(len(c)).astype(np.float32) * 3 for c in cells]
+    truth = rng.normal(size=300)
+    good = np.array([float(truth[c] @ v + rng.normal() > 0) for c, v in zip(cells, values, strict=True)])
+    counts = (rng.random(700) < 0.8).astype(float)
+    listed = [pa.array(x, pa.list_(t)) for x, t in ((cells, pa.int32()), (values, pa.float32()))]
+    blocks = [quality.Rows.of(*(x.slice(at, 64) for x in listed)) for at in range(0, 700, 64)]
+    w = quality.fit_weights(blocks, good, counts, 300, rounds=300)
+    x = np.zeros((700, 300))
+    for i, (c, v) in enumerate(zip(cells, values, strict=True)):
+        x[i, c] = v
+    error = (1 / (1 + np.exp(-(x @ w[:-1] + w[-1]))) - good) * counts / counts.sum()
+    assert np.abs(x.T @ error + quality.PENALTY * w[:-1]).max() < 1e-3 and abs(error.sum()) < 1e-3
+    other = quality.fit_weights(blocks, np.where(counts > 0, good, 1 - good), counts, 300, rounds=300)
+    assert np.abs(other - w).max() < 1e-9
