@@ -15,10 +15,13 @@ from collections.abc import Iterator
 import numpy as np
 
 from .shared import worker_memory
-from .words import SLICE, mix, powers
+from .words import mix, powers
 
 #: Distinct words that a worker remembers; then it starts anew.
-REMEMBERED = 2_000_000
+REMEMBERED = 600_000
+
+#: Bytes of text looked at together: what is made on the way is some forty times as large.
+RUN = 1 << 18
 
 #: Characters that count as white space in the tokenizers' patterns (fixed values).
 WHITE = "\t\n\x0b\x0c\r \x85\xa0                　"
@@ -118,7 +121,7 @@ class WordEncoder:
                 for part, before in _parts(text.encode("utf-8", "surrogatepass")):
                     held.append((i, part, before))
                     size += len(part) + 1
-            if size >= SLICE or i + 1 == len(texts):
+            if size >= RUN or i + 1 == len(texts):
                 yield from self._encode(texts, first, i + 1, held, whole, last)
                 held, whole, size, first = [], {}, 0, i + 1
 
@@ -130,7 +133,7 @@ class WordEncoder:
         while at < len(held):
             # Runs of about a slice; longer texts come in parts of that size.
             to, size = at, 0
-            while to < len(held) and (to == at or size + len(held[to][1]) <= SLICE):
+            while to < len(held) and (to == at or size + len(held[to][1]) <= RUN):
                 size += len(held[to][1]) + 1
                 to += 1
             for (i, _, _), ids in zip(held[at:to], self._ids([h[1] for h in held[at:to]], [h[2] for h in held[at:to]]), strict=True):
@@ -196,8 +199,8 @@ _BYTES = (np.arange(1, 257, dtype=np.uint64), mix(np.arange(1, 257, dtype=np.uin
 def _parts(data: bytes) -> Iterator[tuple[bytes, int]]:
     """A text cut at spaces or line breaks into parts of about a slice, each with what precedes it."""
     at, before = 0, FIRST
-    while len(data) - at > 2 * SLICE:
-        cuts = [i for i in (data.find(b" ", at + SLICE), data.find(b"\n", at + SLICE)) if i >= 0]
+    while len(data) - at > 2 * RUN:
+        cuts = [i for i in (data.find(b" ", at + RUN), data.find(b"\n", at + RUN)) if i >= 0]
         if not cuts:
             break
         cut = min(cuts)

@@ -173,6 +173,13 @@ def platt(scores: np.ndarray, good: np.ndarray, rounds: int = 50) -> tuple[float
     return float(at[0]), float(at[1])
 
 
+def packed(cells: np.ndarray, values: np.ndarray) -> bytes:
+    """A row's (ascending) cells and their values, compressed."""
+    import zstandard
+
+    return zstandard.compress(np.diff(cells, prepend=0).astype("<i4").tobytes() + values.astype("<f4").tobytes(), 1)
+
+
 @dataclass(frozen=True)
 class Rows:
     """Some rows in a row: where each begins, and the cells and values of all."""
@@ -182,9 +189,16 @@ class Rows:
     values: np.ndarray
 
     @classmethod
-    def of(cls, cells: pa.ListArray, values: pa.ListArray) -> Rows:
-        flat = cells.flatten().to_numpy(), values.flatten().to_numpy()
-        return cls(np.append(0, np.cumsum(np.diff(cells.offsets.to_numpy()))), flat[0].astype(np.int32), flat[1].astype(np.float32))
+    def of(cls, packed: list[bytes]) -> Rows:
+        """From rows of :func:`packed`."""
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        raw = [unpack(p) for p in packed]
+        cells = [np.cumsum(np.frombuffer(r, "<i4", len(r) // 8), dtype=np.int32) for r in raw]
+        values = [np.frombuffer(r, "<f4", len(r) // 8, len(r) // 2) for r in raw]
+        starts = np.append(0, np.cumsum([len(c) for c in cells]))
+        return cls(starts, np.concatenate(cells), np.concatenate(values).astype(np.float32, copy=False))
 
     @property
     def sizes(self) -> np.ndarray:
@@ -275,8 +289,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINED_ON) -> Model |
         for batch in batches:
             for run in runs(batch.column(0).to_pylist()):
                 part = batch.slice(run.first, len(run.data))
-                cells, values = zip(*run.vectors(), strict=True)
-                yield pa.record_batch({"quality": part.column(1), "fit": part.column(2), "key": part.column(3), "cells": pa.array(cells, pa.list_(pa.int32())), "values": pa.array([SCALE * v for v in values], pa.list_(pa.float32()))})
+                rows = [packed(cells, SCALE * values) for cells, values in run.vectors()]
+                yield pa.record_batch({"quality": part.column(1), "fit": part.column(2), "key": part.column(3), "row": pa.array(rows, pa.binary())})
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quality, fit, blocks = [], [], []
@@ -285,17 +299,17 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINED_ON) -> Model |
                 part = batch.slice(at, 256)
                 quality += part.column(0).to_pylist()
                 fit += part.column(1).to_pylist()
-                blocks.append(Rows.of(part.column(2), part.column(3)))
+                blocks.append(Rows.of(part.column(2).to_pylist()))
         model = fitted(blocks, np.array(quality), np.array(fit, bool)) if quality else None
         if model:
             yield pa.record_batch({"weights": pa.array([model.weights.tobytes()], pa.binary()), **{k: pa.array([getattr(model, k)]) for k in ("offset", "slope", "shift")}})
 
     marked = (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) > 0).alias("fit")
     rows = docs.join(F.broadcast(chosen), "doc_id").select("text", F.col("quality").cast("double").alias("quality"), marked, F.xxhash64("doc_id", "text").alias("key"))
-    found = stored(rows.mapInArrow(vectors, fields(quality="double", fit="boolean", key="long", cells="array<int>", values="array<float>")))
+    found = stored(rows.mapInArrow(vectors, fields(quality="double", fit="boolean", key="long", row="binary")))
     # An id may stand on many documents: the pairs are bounded as well.
     sample = found.orderBy("key", "quality").limit(most).repartition(1).sortWithinPartitions("key", "quality")
-    model = sample.select("quality", "fit", "cells", "values").mapInArrow(learn, fields(weights="binary", offset="double", slope="double", shift="double")).first()
+    model = sample.select("quality", "fit", "row").mapInArrow(learn, fields(weights="binary", offset="double", slope="double", shift="double")).first()
     return model and Model(np.frombuffer(model.weights), model.offset, model.slope, model.shift)
 
 

@@ -25,7 +25,7 @@ def test_ids_are_those_of_the_library(name):
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_long_texts_in_parts_and_words_forgotten(name, monkeypatch):
-    monkeypatch.setattr(encoding, "SLICE", 40)
+    monkeypatch.setattr(encoding, "RUN", 40)
     monkeypatch.setattr(encoding, "REMEMBERED", 30)
     encoder = WordEncoder(tokenizer_path(name))
     r = random.Random(2)

@@ -82,16 +82,15 @@ def test_platt():
 
 def test_fit_is_the_least_loss():
     """At the weights found no cell's slope is left; rows that don't count change nothing."""
-    import pyarrow as pa
-
     rng = np.random.default_rng(4)
     cells = [np.unique(rng.integers(0, 300, rng.integers(0, 40))).astype(np.int32) for _ in range(700)]
     values = [rng.random(len(c)).astype(np.float32) * 3 for c in cells]
     truth = rng.normal(size=300)
     good = np.array([float(truth[c] @ v + rng.normal() > 0) for c, v in zip(cells, values, strict=True)])
     counts = (rng.random(700) < 0.8).astype(float)
-    listed = [pa.array(x, pa.list_(t)) for x, t in ((cells, pa.int32()), (values, pa.float32()))]
-    blocks = [quality.Rows.of(*(x.slice(at, 64) for x in listed)) for at in range(0, 700, 64)]
+    rows = [quality.packed(c, v) for c, v in zip(cells, values, strict=True)]
+    blocks = [quality.Rows.of(rows[at : at + 64]) for at in range(0, 700, 64)]
+    assert (np.concatenate([b.cells for b in blocks]) == np.concatenate(cells)).all()
     w = quality.fit_weights(blocks, good, counts, 300, rounds=300)
     x = np.zeros((700, 300))
     for i, (c, v) in enumerate(zip(cells, values, strict=True)):
