@@ -42,8 +42,8 @@ def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
 
 
 def _limits(low: Column, high: Column) -> list[Column]:
-    """The least value, and two scales that map the range to buckets."""
-    span = high - low
+    """The least value, and two scales that map the range to buckets; halves, as a range of doubles may be no double."""
+    span = high / 2 - low / 2
     return [
         low.alias("_low"),
         F.when(span > 0, F.least(BUCKETS / span, F.lit(1e300))).otherwise(F.lit(0.0)).alias("_even"),
@@ -58,13 +58,20 @@ def _bucket() -> Column:
     monotone, so the sum is too, and it changes wherever one of them does: flat
     values are told apart by the first, long tails by the second.
     """
-    width = F.col("value") - F.col("_low")
+    width = F.col("value") / 2 - F.col("_low") / 2
     even = (width * F.col("_even")).cast("long")
     tail = (F.log1p(width) * F.col("_tail")).cast("long")
     infinite = F.lit(float("inf"))
     return F.when(F.col("value") == infinite, F.lit(1 << 62)).when(F.col("value") == -infinite, F.lit(-1)).otherwise(F.coalesce(even + tail, F.lit(0)))
 
 
+def _between(low: Column, high: Column, share: Column) -> Column:
+    """The value at ``share`` of the way, also where the way is longer than any double."""
+    way = high - low
+    far = F.abs(way) == F.lit(float("inf"))
+    return F.when(far, low * (1 - share) + high * share).otherwise(low + way * share)
+
+
 def _finite(value: Column) -> Column:
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
@@ -132,7 +139,7 @@ def _narrow(rows: DataFrame, cells: DataFrame, key: list[str], name: str, join:
             F.col("_begin").alias("_offset"),
             "_targets",
             *_limits(F.col("low"), F.col("high")),
-            (F.coalesce(F.col("high") - F.col("low") > LEAST_SPAN, F.lit(False)) & (F.col("_rows") > SORTED_ROWS)).alias("_large"),
+            (F.coalesce(F.col("high") / 2 - F.col("low") / 2 > LEAST_SPAN, F.lit(False)) & (F.col("_rows") > SORTED_ROWS)).alias("_large"),
         )
     )
     return join(tagged, placed.select(*key, name), [*key, name]), placed
@@ -152,7 +159,7 @@ def _read_off(rows: DataFrame, cells: DataFrame, key: list[str], group: list[str
     share = F.max(F.col("_t.place") - F.col("_t.lower"))
     # No difference of infinities where there is nothing to interpolate.
     plain = (F.col("_lo") == F.col("_hi")) | (F.col("_share") == 0)
-    between = F.when(plain, F.col("_lo")).otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_share"))
+    between = F.when(plain, F.col("_lo")).otherwise(_between(F.col("_lo"), F.col("_hi"), F.col("_share")))
     return (
         ranked.where(_inside(F.col("_t.lower")) | _inside(F.col("_t.upper")))
         .groupBy(*group, F.col("_t.prob").alias("prob"))

@@ -6,11 +6,12 @@ rows are range-partitioned by (keys, order), which splits a long series wherever
 it has to, and numbered by adding up the sizes of the pieces. The numbered rows
 are then cut into chunks of fixed size, and each chunk gets the last ``reach``
 rows of the one before it. Any feature that looks back at most ``reach`` rows
-comes out the same as over the whole series.
+comes out the same as over the whole series; the operators say how far they look.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -53,21 +54,30 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces
 def over_segments(
     panel: Panel,
     features: Callable[[Panel], Panel],
-    reach: int,
+    reach: int | None = None,
     tie_break: Sequence[str] = (),
     rows: int = 200_000,
     pieces: int | None = None,
 ) -> DataFrame:
-    """Apply panel operators that look back at most ``reach`` rows, chunk by chunk.
+    """Apply panel operators that look back a bounded number of rows, chunk by chunk.
 
-    ``features`` gets a panel whose series are the chunks. Operators that look at
-    whole series (fills, decompositions) do not belong here. Rows without a key
-    come back with NULL features.
+    ``features`` gets a panel whose series are the chunks. Its operators report how far
+    they look back (:meth:`Panel.looking_back`; functions of a user's own must do so
+    too). ``reach`` is what they report, or more where it is given; less is an error,
+    and so are operators that look at whole series (fills, first rows, exponential
+    means, which carry a mean across gaps of any length). Rows without a key come back
+    with NULL features.
     """
-    if reach < 0 or rows < 1:
+    if (reach or 0) < 0 or rows < 1:
         raise ValueError("reach and rows must not be negative")
-    rows = max(rows, reach, 1)
     keyed = panel.df.where(panel.has_key)
+    needed = features(_of_chunks(panel, keyed.withColumns({CHUNK: F.lit(0).cast("long"), PLACE: F.lit(1).cast("long"), BORROWED: F.lit(False)}))).reach
+    if math.isinf(needed):
+        raise ValueError("features that look at whole series cannot be built chunk by chunk")
+    if reach is not None and reach < needed:
+        raise ValueError(f"the features look back {int(needed)} rows, more than the reach of {reach}")
+    reach = int(needed) if reach is None else reach
+    rows = max(rows, reach, 1)
     placed = number_rows(keyed, panel.keys, [panel.ts, *tie_break], pieces)
     at = F.col(PLACE) - 1
     own = F.struct(F.floor(at / rows).alias("chunk"), F.lit(False).alias("borrowed"))
@@ -76,13 +86,17 @@ def over_segments(
     chunks = placed.withColumn("_copy", F.explode(copies)).withColumns(
         {CHUNK: F.col("_copy.chunk"), BORROWED: F.col("_copy.borrowed")}
     )
-    inner = Panel(chunks.drop("_copy", PIECE), (*panel.keys, CHUNK), PLACE, panel.y, null_keys=False, bounded=True)
-    done = features(inner).frame().where(~F.col(BORROWED)).drop(CHUNK, BORROWED, PLACE)
+    done = features(_of_chunks(panel, chunks.drop("_copy", PIECE))).frame().where(~F.col(BORROWED)).drop(CHUNK, BORROWED, PLACE)
     if not panel.null_keys:
         return done
     return done.unionByName(panel.df.where(~panel.has_key), allowMissingColumns=True)
 
 
+def _of_chunks(panel: Panel, df: DataFrame) -> Panel:
+    """A panel whose series are the chunks."""
+    return Panel(df, (*panel.keys, CHUNK), PLACE, panel.y, null_keys=False, bounded=True)
+
+
 def backward_fill_long(
     panel: Panel, into: str, tie_break: Sequence[str] = (), pieces: int | None = None
 ) -> DataFrame:

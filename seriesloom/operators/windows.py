@@ -31,7 +31,8 @@ def lag_features(
     """The value ``k`` rows earlier in the same series, for every ``k``."""
     panel = panel.spread_null_keys()
     w = panel.window()
-    return panel.with_df(
+    back = max(lags, default=0) if min(lags, default=0) >= 0 else math.inf
+    return panel.looking_back(back).with_df(
         panel.df.withColumns(
             {
                 lag_name(panel.y, k): _noisy(
@@ -55,7 +56,7 @@ def rolling_means(panel: Panel, sizes: Sequence[int], shift: int = 0) -> Panel:
         frame = w.rowsBetween(-(n - 1) - shift, -shift)
         mean = F.when(F.count(panel.y).over(frame) == n, F.avg(panel.y).over(frame))
         columns[f"roll{n}" + (f"_shift{shift}" if shift else "")] = panel.of_series(mean)
-    return panel.with_df(panel.df.withColumns(columns))
+    return panel.looking_back(max(sizes, default=1) - 1 + shift).with_df(panel.df.withColumns(columns))
 
 
 def triangular_means(
@@ -130,7 +131,7 @@ def triangular_means(
         )
         columns[roll_name(panel.y, n)] = _noisy(panel.of_series(mean), noise_sd, seed + i)
     scratch = ["_rn", "_centre", *names, *[f"{c}_{o}" for o in offsets for c in names]]
-    return panel.with_df(lagged.withColumns(columns).drop(*scratch))
+    return panel.looking_back(max(sizes)).with_df(lagged.withColumns(columns).drop(*scratch))
 
 
 def _doublings(alpha: float) -> int:
@@ -185,7 +186,8 @@ def ewm_means(panel: Panel, alphas: Sequence[float], shift: int = 1) -> Panel:
     if shift:
         w = panel.window()
         df = df.withColumns({c: panel.of_series(F.lag(c, shift).over(w)) for c in names})
-    return panel.with_df(df)
+    # Behind a gap of any length stands the mean of the last known row.
+    return panel.looking_back(math.inf).with_df(df)
 
 
 def ewm_features(panel: Panel, alphas: Sequence[float], lags: Sequence[int]) -> Panel:
@@ -209,14 +211,14 @@ def ewm_features(panel: Panel, alphas: Sequence[float], lags: Sequence[int]) ->
             for k in lags
         }
     )
-    return panel.with_df(df.drop(*names))
+    return panel.looking_back(math.inf).with_df(df.drop(*names))
 
 
 def first_rows(panel: Panel, n: int = 5) -> Panel:
     """The first ``n`` rows of every series, in time order."""
     df = panel.df.where(panel.has_key) if panel.null_keys else panel.df
     numbered = df.withColumn("_rn", F.row_number().over(panel.window()))
-    return panel.with_df(numbered.where(F.col("_rn") <= n).drop("_rn"))
+    return panel.looking_back(math.inf).with_df(numbered.where(F.col("_rn") <= n).drop("_rn"))
 
 
 def calendar_spine(panel: Panel, period: str = "day") -> Panel:
@@ -252,7 +254,7 @@ def calendar_spine(panel: Panel, period: str = "day") -> Panel:
             return F.col("_moment").alias(c)
         return F.col(c) if c in panel.keys else F.when(measured, F.col(c)).alias(c)
 
-    return panel.with_df(grown.select(*[column(c) for c in df.columns]))
+    return panel.looking_back(math.inf).with_df(grown.select(*[column(c) for c in df.columns]))
 
 
 def backward_fill(panel: Panel, into: str | None = None) -> Panel:
@@ -263,4 +265,4 @@ def backward_fill(panel: Panel, into: str | None = None) -> Panel:
     seen = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = F.last(panel.y, ignorenulls=True).over(seen)
     filled = F.coalesce(F.col(panel.y), panel.of_series(filled))
-    return panel.with_df(panel.df.withColumn(into or panel.y, filled))
+    return panel.looking_back(math.inf).with_df(panel.df.withColumn(into or panel.y, filled))

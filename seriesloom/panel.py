@@ -29,6 +29,8 @@ class Panel:
     ``null_keys`` says whether key columns may be NULL. Such rows belong to no
     series: they are kept, but every per-series feature of theirs is NULL.
     ``bounded`` says that something other than a DATE bounds the length of a series.
+    ``reach`` counts the rows that the features built so far look back, and ``base``
+    those behind ``y`` itself, where it was built too.
     """
 
     df: DataFrame
@@ -37,6 +39,8 @@ class Panel:
     y: str
     null_keys: bool = True
     bounded: bool = False
+    reach: float = 0
+    base: float = 0
 
     def __post_init__(self) -> None:
         missing = [c for c in (*self.keys, self.ts, self.y) if c not in self.df.columns]
@@ -80,7 +84,12 @@ class Panel:
         return replace(self, df=df)
 
     def measuring(self, y: str) -> Panel:
-        return replace(self, y=y)
+        # The new value may be any feature so far: what looks back from it looks further.
+        return replace(self, y=y, base=self.reach)
+
+    def looking_back(self, rows: float) -> Panel:
+        """The panel after a feature that reads up to ``rows`` rows before each; infinite for whole series."""
+        return replace(self, reach=max(self.reach, self.base + rows))
 
     @property
     def calendar_bound(self) -> bool:

@@ -272,7 +272,7 @@ def segmented_features(spark, folder):
         panel = windows.rolling_means(panel, (3,), shift=1)
         return windows.triangular_means(panel, (19,))
 
-    done = over_segments(_events(spark, folder), build, reach=91, tie_break=("event_id",), rows=SEGMENT_ROWS)
+    done = over_segments(_events(spark, folder), build, tie_break=("event_id",), rows=SEGMENT_ROWS)
     return shown(done.drop("ts"), 6)
 
 

@@ -71,3 +71,38 @@ def test_backward_fill_across_pieces(spark):
 def test_plain_windows_warn_about_raw_timestamps(spark):
     with pytest.warns(UserWarning, match="segments"):
         windows.lag_features(hot_panel(spark, 50), [1])
+
+
+def test_reach_is_worked_out_and_a_shorter_one_refused(spark):
+    panel = hot_panel(spark, 600)
+
+    def build_20(p):
+        return windows.triangular_means(p, [20])
+
+    with pytest.raises(ValueError, match="look back 20 rows"):
+        segments.over_segments(panel, build_20, reach=5, tie_break=["id"], rows=15)
+    got = segments.over_segments(panel, build_20, tie_break=["id"], rows=15, pieces=3)
+    key = lambda r: r["id"]
+    mean = F.round("y_roll_mean_20", 6).alias("m")
+    whole = build_20(order_panel(panel)).frame()
+    assert sorted(got.select("id", mean).collect(), key=key) == sorted(whole.select("id", mean).collect(), key=key)
+
+
+def test_reach_of_features_of_features_adds_up(spark):
+    panel = hot_panel(spark, 600)
+
+    def build_twice(p):
+        p = windows.lag_features(p, [7])
+        return windows.rolling_means(p.measuring("y_lag_7"), (4,), shift=2)
+
+    assert build_twice(order_panel(panel)).reach == 12
+    got = segments.over_segments(panel, build_twice, tie_break=["id"], rows=12, pieces=3)
+    key = lambda r: r["id"]
+    mean = F.round("roll4_shift2", 6).alias("m")
+    whole = build_twice(order_panel(panel)).frame()
+    assert sorted(got.select("id", mean).collect(), key=key) == sorted(whole.select("id", mean).collect(), key=key)
+
+
+def test_whole_series_features_are_refused_chunk_by_chunk(spark):
+    with pytest.raises(ValueError, match="whole series"):
+        segments.over_segments(hot_panel(spark, 50), lambda p: windows.ewm_features(p, [0.5], [7]), tie_break=["id"])

@@ -231,6 +231,16 @@ def test_quantiles_of_infinities(spark):
     assert whole == {0.0: -inf, 0.5: 3.5}
 
 
+def test_quantiles_of_a_range_that_is_no_double(spark):
+    from seriesloom.operators.quantiles import exact_quantiles
+
+    df = spark.createDataFrame([(v,) for v in (-1.7e308, -1.0, 0.0, 2.0, 1.7e308)], "v double")
+    got = {r["prob"]: r["value"] for r in exact_quantiles(df, ["v"], [0.0, 0.25, 0.5, 0.75, 1.0]).collect()}
+    assert got == {0.0: -1.7e308, 0.25: -1.0, 0.5: 0.0, 0.75: 2.0, 1.0: 1.7e308}
+    ends = spark.createDataFrame([(-1.7e308,), (1.7e308,)], "v double")
+    assert exact_quantiles(ends, ["v"], [0.5]).first()["value"] == 0.0
+
+
 @pytest.mark.parametrize("many", [20, 5000, 200_000])
 def test_column_classes_at_any_limit(spark, many):
     nan = float("nan")
