@@ -334,39 +334,91 @@ def test_best_orders_coefficients_and_refit(spark):
 # --- unit roots ----------------------------------------------------------------------
 
 
-def test_p_value_at_known_critical_values():
-    for statistic, p in ((-3.43, 0.01), (-2.86, 0.05), (-2.57, 0.10)):
-        assert stationarity.p_value(statistic) == pytest.approx(p, abs=0.001)
+def by_least_squares(y, max_lag=None):
+    """Lag count, rows used and statistic of the augmented test, by least squares on whole matrices."""
+    y = np.array(y)
+    dy = np.diff(y)
+    limit = min(math.ceil(12 * (len(y) / 100) ** 0.25) if max_lag is None else max_lag, len(y) // 2 - 2)
+
+    def regress(lags, skip):
+        at = np.arange(skip, len(dy))
+        x = np.column_stack([np.ones(len(at)), y[at], *[dy[at - k] for k in range(1, lags + 1)]])
+        b = np.linalg.lstsq(x, dy[at], rcond=None)[0]
+        return x, b, ((dy[at] - x @ b) ** 2).sum()
+
+    rows = len(dy) - limit
+    lags = int(np.argmin([rows * math.log(regress(k, limit)[2] / rows) + 2 * (k + 2) for k in range(limit + 1)]))
+    x, b, squares = regress(lags, lags)
+    variance = squares / (len(x) - x.shape[1])
+    return lags, len(x), b[1] / math.sqrt(variance * np.linalg.inv(x.T @ x)[1, 1])
+
+
+def test_p_value_at_known_critical_values(spark):
     joint = stationarity.P_JOINT
-    assert stationarity.p_value(joint) == pytest.approx(stationarity.p_value(joint + 1e-9), abs=0.002)
-    assert stationarity.p_value(-30.0) == 0.0 and stationarity.p_value(3.0) == 1.0
+    known = (-3.43, -2.86, -2.57, joint, joint + 1e-9, -30.0, 3.0)
+    rows = spark.createDataFrame([(x,) for x in (*known, None)], "x double")
+    found = {r["x"]: r["p"] for r in rows.select("x", stationarity.p_value(F.col("x")).alias("p")).collect()}
+    assert [found[x] for x in known[:3]] == pytest.approx([0.01, 0.05, 0.10], abs=0.001)
+    assert found[joint] == pytest.approx(found[joint + 1e-9], abs=0.002)
+    assert (found[-30.0], found[3.0], found[None]) == (0.0, 1.0, None)
+
+
+def test_normal_distribution_near_and_far(spark):
+    z = [-11.4, -6.0, -4.01, -3.99, -1.0, -1e-9, 0.0, 0.3, 3.999, 4.0, 7.0]
+    rows = spark.createDataFrame([(v,) for v in z], "z double").select("z", stationarity.normal_cdf(F.col("z")).alias("p")).collect()
+    for r in rows:
+        assert r["p"] == pytest.approx(0.5 * math.erfc(-r["z"] / math.sqrt(2)), rel=1e-9)
 
 
 def test_statistic_of_the_passenger_series(spark):
-    series = {"air": PASSENGERS, "flat": [1.0] * 40}
+    series = {"air": PASSENGERS, "flat": [1.0] * 40, "short": [1.0, 2.0], "line": [float(i) for i in range(30)]}
     rows = {r["k"]: r for r in stationarity.adf_test(smoothing.series_arrays(panel_of(spark, series)), KEYS).collect()}
     air = rows["air"]
     assert (air["lags"], air["n_used"], air["stationary"]) == (13, 130, False)
     assert air["statistic"] == pytest.approx(0.8153688792, abs=1e-8)
     assert air["p_value"] == pytest.approx(0.9918802434, abs=1e-8)
-    assert rows["flat"]["statistic"] is None and rows["flat"]["status"] != "ok"
+    for k, status in (("flat", stationarity.COLLINEAR), ("line", stationarity.COLLINEAR), ("short", stationarity.UNUSABLE)):
+        assert [rows[k][c] for c in ("n_used", "lags", "statistic", "p_value", "critical_5", "stationary")] == [None] * 6
+        assert rows[k]["status"] == status
+
+
+def test_arrays_that_cannot_be_tested(spark):
+    holed, endless = [1.0, None, 2.0] * 9, [1.0, float("inf"), 2.0] * 9
+    rows = [("null", None), ("empty", []), ("holed", holed), ("endless", endless), ("nan", [float("nan")] * 20)]
+    df = spark.createDataFrame(rows, "k string, y array<double>")
+    assert {r["status"] for r in stationarity.adf_test(df, KEYS).collect()} == {stationarity.UNUSABLE}
+    assert stationarity.adf_test(df.where("false"), KEYS).count() == 0
+
+
+@pytest.mark.parametrize("max_lag", [None, 0, 3])
+def test_augmented_test_equals_least_squares(spark, max_lag):
+    rng = np.random.default_rng(11)
+    series = {f"{n}-{kind}": (1000 + walk).tolist() for n in (6, 7, 25, 60, 300) for kind, walk in (("noise", rng.normal(size=n)), ("walk", rng.normal(size=n).cumsum()))}
+    df = spark.createDataFrame(list(series.items()), "k string, y array<double>").repartition(3)
+    found = stationarity.adf_test(df, KEYS, max_lag).collect()
+    assert len(found) == len(series)
+    for r in found:
+        lags, used, statistic = by_least_squares(series[r["k"]], max_lag)
+        assert (r["lags"], r["n_used"]) == (lags, used), r["k"]
+        assert r["statistic"] == pytest.approx(statistic, rel=1e-6)
+        if len(series[r["k"]]) == 300:
+            assert r["stationary"] == r["k"].endswith("noise")
+
+
+def test_augmented_test_runs_no_python(spark):
+    arrays = smoothing.series_arrays(panel_of(spark, {"air": PASSENGERS}))
+    plan = stationarity.adf_test(arrays, KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
 def test_native_statistic_equals_the_unlagged_test(spark):
     y = list(np.random.default_rng(3).normal(size=80).cumsum())
     panel = panel_of(spark, {"a": y, "b": y[:5]})
     native = {r["k"]: r for r in stationarity.dickey_fuller(panel).collect()}
-    expected = stationarity.augmented_dickey_fuller(y, max_lag=0)[0]
-    assert native["a"]["statistic"] == pytest.approx(expected["statistic"])
+    assert native["a"]["statistic"] == pytest.approx(by_least_squares(y, 0)[2])
     assert native["a"]["n_used"] == 79
 
 
-def test_noise_is_stationary_and_a_walk_is_not():
-    rng = np.random.default_rng(5)
-    assert stationarity.augmented_dickey_fuller(rng.normal(size=300))[0]["stationary"]
-    assert not stationarity.augmented_dickey_fuller(rng.normal(size=300).cumsum())[0]["stationary"]
-
-
 # --- whole study ------------------------------------------------------------------------
 
 
