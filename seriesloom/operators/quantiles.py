@@ -4,17 +4,20 @@ The built-in exact percentile keeps all distinct values of a group in one task.
 Here values are counted in order-keeping buckets, and only the buckets that hold
 a wanted rank are looked at again: in finer buckets of their own while they are
 large, and sorted when they are small. A bucket never splits a value, so the
-result is exact; it is linearly interpolated.
+result is exact; it is linearly interpolated. Quantiles of whole columns are found
+the same way with counters side by side: see :mod:`seriesloom.operators.histograms`.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .histograms import Range, narrowed, values_inside
 from .skew import salted_join
 
 BUCKETS = 16384
@@ -204,31 +207,36 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[
 
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Rows (column, prob, value) over the whole table.
+    """Rows (column, prob, value) over the whole table, all columns side by side.
 
-    No value is shuffled but those in the wanted buckets. The limits have one row
-    per column and the wanted buckets at most two per column and probability, so
-    both can be broadcast whatever the table.
+    No value is shuffled but those in the last ranges that hold a wanted rank, at most two per column and
+    probability. Infinities are values like others, at the ends.
     """
-    facts = []
+    facts, infinity = [], float("inf")
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")
         v = F.when(~F.isnan(v), v)
         facts += [F.min(_finite(v)).alias(f"low{i}"), F.max(_finite(v)).alias(f"high{i}"), F.count(v).alias(f"total{i}")]
-    per_column = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"low{i}").alias("low"),
-                F.col(f"high{i}").alias("high"),
-                F.col(f"total{i}").alias("total"),
-            )
-            for i, c in enumerate(columns)
-        ]
-    )
-    cells = _whole(df.agg(*facts).select(F.inline(per_column)), ["column"], probs)
-    rows = _known_values(df, columns).withColumn("n", F.lit(1).cast("long"))
-    return _quantiles(rows, cells, ["column"], lambda big, small, on: big.join(F.broadcast(small), on))
+        facts += [F.count(F.when(v == -infinity, 1)).alias(f"least{i}"), F.count(F.when(v == infinity, 1)).alias(f"most{i}")]
+    ends = df.agg(*facts).first()
+    values = df.select(*(F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)))
+    targets, finite, kept = [], [], []
+    for i in range(len(columns)):
+        total, least, most = (ends[f"{name}{i}"] for name in ("total", "least", "most"))
+        places = [(float(p), p * (total - 1)) for p in probs] if total else []
+        targets.append([(p, place, math.floor(place), math.ceil(place)) for p, place in places])
+        # Infinities need no search.
+        kept += [Range(i, v, v, offset, n) for v, offset, n in ((-infinity, 0, least), (infinity, total - most, most)) if n]
+        if total > least + most:
+            finite.append(Range(i, ends[f"low{i}"], ends[f"high{i}"], least, total - least - most))
+    ranks = [sorted({r for t in column for r in t[2:]}) for column in targets]
+    while finite:
+        finite = narrowed(values, finite, ranks)
+        kept += [r for r in finite if r.count <= SORTED_ROWS or r.low == r.high]
+        finite = [r for r in finite if r.count > SORTED_ROWS and r.low < r.high]
+    rows = [(i, columns[r.column], r.offset, [t for t in targets[r.column] if any(r.offset <= k < r.offset + r.count for k in t[2:])]) for i, r in enumerate(kept)]
+    cells = df.sparkSession.createDataFrame(rows, "range int, column string, _offset long, _targets array<struct<prob: double, place: double, lower: long, upper: long>>")
+    return _read_off(values_inside(values, kept), cells, ["range"], ["column"], lambda big, small, on: big.join(F.broadcast(small), on))
 
 
 def exact_quantiles(

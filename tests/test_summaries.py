@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesloom import Panel
-from seriesloom.operators import combine, quantiles, summarize
+from seriesloom.operators import combine, histograms, quantiles, summarize
 from seriesloom.operators.quantiles import exact_quantiles
 from seriesloom.operators.skew import salted_join
 
@@ -41,8 +42,9 @@ def test_large_buckets_are_split_again(spark, monkeypatch):
     """With a limit of a few rows per bucket, crowded values take several rounds."""
     monkeypatch.setattr(quantiles, "SORTED_ROWS", 5)
     rounds = []
-    narrow = quantiles._narrow
-    monkeypatch.setattr(quantiles, "_narrow", lambda *a: rounds.append(1) or narrow(*a))
+    for name in ("_narrow", "narrowed"):
+        narrow = getattr(quantiles, name)
+        monkeypatch.setattr(quantiles, name, lambda *a, narrow=narrow: rounds.append(1) or narrow(*a))
     for by in ([], ["g"]):
         rounds.clear()
         v = pd.Series(values_of("crowded", 300))
@@ -70,6 +72,40 @@ def test_quantiles_of_an_empty_column(spark):
     assert {r["column"] for r in exact_quantiles(df, ["a", "b"], [0.5]).collect()} == {"b"}
 
 
+def test_bounds_part_any_doubles():
+    tiny, huge = 5e-324, 1.7e308
+    for low, high in ((0.0, 1.0), (-huge, huge), (-tiny, tiny), (tiny, huge), (-huge, -1.0), (1.0, np.nextafter(1.0, 2)), (-0.0, 0.0), (3.0, 3.0)):
+        cut = histograms.bounds(low, high, 64)
+        assert cut[0] == low and cut[-1] <= high and (np.diff(cut) > 0).all()
+        # A range of more than one double is always parted.
+        assert len(cut) > 1 or low == high
+    places = [histograms._place(x) for x in (-float("inf"), -huge, -tiny, 0.0, tiny, 1.0, huge, float("inf"))]
+    assert places == sorted(places) and places[3] - places[2] == places[4] - places[3] == 1
+    assert [histograms._double(histograms._place(x)) for x in (-2.5, 0.0, 7.25)] == [-2.5, 0.0, 7.25]
+
+
+@pytest.mark.parametrize("limit", [3, 1_000_000])
+def test_quantiles_of_columns_side_by_side(spark, monkeypatch, limit):
+    """Columns of all kinds in one go: infinities, missing values, ties, one value, whole numbers."""
+    monkeypatch.setattr(quantiles, "SORTED_ROWS", limit)
+    infinity, rng = float("inf"), np.random.default_rng(8)
+    table = {kind: values_of(kind, 400) for kind in ("flat", "long tail", "few values", "one value", "crowded", "with gaps")}
+    table["ends"] = np.where(rng.random(400) < 0.1, -infinity, np.where(rng.random(400) < 0.2, infinity, rng.normal(size=400)))
+    table["endless"] = np.full(400, infinity)
+    table["lost"] = np.full(400, np.nan)
+    names = list(table)
+    df = spark.createDataFrame(pd.DataFrame(table), ", ".join(f"`{n}` double" for n in names)).withColumn("whole", F.monotonically_increasing_id()).repartition(5)
+    got = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles(df, [*names, "whole"], PROBS).collect()}
+    assert len(got) == len(PROBS) * len(names)
+    for name in set(names) - {"lost"}:
+        v = np.sort(table[name][~np.isnan(table[name])])
+        for p in PROBS:
+            place = p * (len(v) - 1)
+            a, b = v[math.floor(place)], v[math.ceil(place)]
+            expected = a if a == b or place == math.floor(place) else a + (b - a) * (place - math.floor(place))
+            assert got[name, p] == expected or got[name, p] == pytest.approx(expected, rel=1e-12), (name, p)
+
+
 def test_salted_join_is_a_join(spark):
     big = spark.createDataFrame([("hot" if i % 3 else f"k{i % 7}", i) for i in range(300)], "k string, i int")
     small = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3)], "k string, v int")
