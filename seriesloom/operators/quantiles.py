@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .histograms import Range, narrowed, values_inside
-from .skew import salted_join
+from .skew import hot_keys, salted_join
 
 BUCKETS = 16384
 # Rows of one bucket that a single task may sort; a bucket with more is split again.
@@ -190,7 +190,8 @@ def _quantiles(rows: DataFrame, cells: DataFrame, group: list[str], join: Join)
 def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
     """Rows (by..., column, prob, value) from the output of :func:`value_counts`.
 
-    There may be any number of groups, so their limits are joined with salted keys.
+    There may be any number of groups, so their limits are joined, with salted keys where a group has many
+    values. ``counts`` are read several times over: give a written table.
     """
     group = [*by, "column"]
     ends = counts.groupBy(*group).agg(
@@ -198,10 +199,12 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[
     )
     cells = _whole(ends, group, probs)
 
+    hot = hot_keys(counts, group)
+
     def join(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
         # Rows of one group differ in the columns that are not the group.
         rest = [c for c in big.columns if c not in on]
-        return salted_join(big, small, on, F.xxhash64(*rest))
+        return salted_join(big, small, on, F.xxhash64(*rest), hot=hot)
 
     return _quantiles(counts, cells, group, join)
 
@@ -244,5 +247,5 @@ def exact_quantiles(
 ) -> DataFrame:
     """Rows (by..., column, prob, value): linearly interpolated quantiles of each column."""
     if by:
-        return quantiles_of_counts(value_counts(df, columns, by), probs, by)
+        return quantiles_of_counts(cut_lineage(value_counts(df, columns, by)), probs, by)
     return column_quantiles(df, columns, probs)

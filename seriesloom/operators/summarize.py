@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from .quantiles import column_quantiles, quantiles_of_counts, value_counts
 from .skew import salted_join
 
@@ -195,7 +196,7 @@ def box_statistics(df: DataFrame, by: Sequence[str], y: str, reach: float = 1.5)
     the box. Values are counted before anything else, so a large group is spread
     over many tasks throughout.
     """
-    counts = value_counts(df, [y], by)
+    counts = cut_lineage(value_counts(df, [y], by))
     long = quantiles_of_counts(counts, (0.25, 0.5, 0.75), by)
     boxes = long.groupBy(*by).agg(
         *[

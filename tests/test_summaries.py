@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesloom import Panel
-from seriesloom.operators import combine, histograms, quantiles, summarize
+from seriesloom.operators import combine, histograms, quantiles, skew, summarize
 from seriesloom.operators.quantiles import exact_quantiles
 from seriesloom.operators.skew import salted_join
 
@@ -116,6 +116,44 @@ def test_salted_join_is_a_join(spark):
         salted_join(big, small, ["k"], F.col("i"), "full")
 
 
+def test_hot_keys_are_split_as_their_rows_ask_for(spark, monkeypatch):
+    rows = [("a", i) for i in range(250)] + [("b", i) for i in range(101)] + [("c", i) for i in range(100)] + [(None, i) for i in range(400)]
+    big = spark.createDataFrame(rows, "k string, i int").repartition(4)
+    assert {r["k"]: r["_ways"] for r in skew.hot_keys(big, ["k"], 100).collect()} == {"a": 3, "b": 2}
+    assert skew.hot_keys(big, ["k"]).count() == 0
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # No more parts than tasks, and no more hot keys than tasks: the largest.
+    assert {r["_ways"] for r in skew.hot_keys(big, ["k"], 1).collect()} == {tasks}
+    many = spark.range(1000).selectExpr("id % 100 AS k", "id AS i")
+    assert skew.hot_keys(many, ["k"], 1).count() == tasks
+
+    monkeypatch.setattr(skew, "ROWS_OF_A_KEY", 100)
+    small = spark.createDataFrame([("a", 1), ("a", 2), ("c", 3), ("d", 4), (None, 5)], "k string, v int")
+    for how in ("inner", "left"):
+        got = sorted(salted_join(big, small, ["k"], F.col("i"), how).select("k", "i", "v").collect(), key=str)
+        assert got == sorted(big.join(small, "k", how).select("k", "i", "v").collect(), key=str)
+    # A key of several columns, the hot ones known by the first alone.
+    two = big.withColumn("m", F.col("i") % 2)
+    few = spark.createDataFrame([("a", 0, 1), ("b", 1, 2)], "k string, m int, v int")
+    got = sorted(salted_join(two, few, ["k", "m"], F.col("i"), "left", skew.hot_keys(big, ["k"])).select("k", "m", "i", "v").collect(), key=str)
+    assert got == sorted(two.join(few, ["k", "m"], "left").select("k", "m", "i", "v").collect(), key=str)
+
+
+def test_rows_of_a_hot_key_meet_in_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_OF_A_KEY", 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        big = spark.range(3000).selectExpr("CASE WHEN id < 2900 THEN 'hot' ELSE 'cold' END AS k", "id")
+        small = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
+        joined = salted_join(big, small, ["k"], F.col("id")).withColumn("at", F.spark_partition_id())
+        most = joined.where("k = 'hot'").groupBy("at").count().agg(F.max("count"), F.count("*")).first()
+        assert most[1] > 1 and most[0] < 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+
+
 def test_statistics_follow_the_missing_value_rules(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 4.0), ("b", None), ("c", 3.0), (None, 9.0)], "k string, y double")
     got = {
