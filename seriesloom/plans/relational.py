@@ -15,7 +15,7 @@ from ..functions import (
     smape,
     to_log,
 )
-from ..operators import combine, summarize, windows
+from ..operators import categories, combine, summarize, windows
 from ..sources import tables
 from .registry import DENSE, DIGITS, MERCHANT, SALES, SPARSE, day, num, query, shown
 
@@ -283,6 +283,23 @@ def one_hot(spark, folder):
     return combine.one_hot(joined, ["merchant", "day_of_week"])
 
 
+CODED = ("l_partkey", "l_shipdate")
+
+
+@query(
+    "category_codes",
+    "WITH "
+    + ", ".join(f"{c}_codes AS (SELECT {c}, row_number() OVER (ORDER BY {c}) - 1 AS code FROM (SELECT DISTINCT {c} FROM lineitem WHERE {c} IS NOT NULL))" for c in CODED)
+    + f"""
+SELECT l_orderkey, {', '.join(f'{c}_codes.code AS {c}__code' for c in CODED)}
+FROM lineitem {' '.join(f'LEFT JOIN {c}_codes USING ({c})' for c in CODED)}""",
+)
+def category_codes(spark, folder):
+    """Numbers of every part and every date, as many as there are."""
+    rows = tables.table(spark, folder, "lineitem").select("l_orderkey", *CODED)
+    return categories.coded(rows, CODED).drop(*CODED)
+
+
 @query(
     "forecast_overlay",
     f"""WITH {SALES}, marked AS (
