@@ -10,7 +10,7 @@ from ..operators.decompose import component_means, components_long, decompose
 from ..operators.segments import backward_fill_long, over_segments
 from ..panel import Panel
 from ..sources import tables
-from .registry import DENSE, MONTHLY, SALES, SPARSE, day, num, query, rounded, shown
+from .registry import DENSE, MONTHLY, SALES, SPARSE, day, num, query, rounded, rounded_in_batches, shown
 
 LAGS = (91, 98, 105, 112, 119, 126, 182, 364, 546, 728)
 ALPHAS = (0.95, 0.9, 0.8, 0.7, 0.5)
@@ -334,9 +334,14 @@ FROM joined"""
 @query("panel_features", _all_features_sql())
 def all_features(spark, folder):
     """Lags, triangular and exponential means of many sparse series in one pass over them."""
-    panel = windows.lag_features(tables.sparse_panel(spark, folder), PANEL_LAGS)
+    sparse = tables.sparse_panel(spark, folder)
+    # The exponential means take the most steps, and every step copies its rows: they go first, while rows are short.
+    panel = windows.ewm_features(sparse, ALPHAS, PANEL_EWM_LAGS)
+    means = [c for c in panel.df.columns if c not in sparse.df.columns]
     panel = windows.triangular_means(panel, PANEL_ROLLS)
-    panel = windows.ewm_features(panel, ALPHAS, PANEL_EWM_LAGS)
-    names = [f"sales_roll_mean_{n}" for n in PANEL_ROLLS]
-    rolls = {c: rounded(F.col(c), 3) for c in names}
-    return shown(panel.frame().withColumns(rolls))
+    panel = windows.lag_features(panel, PANEL_LAGS)
+    rolls = [f"sales_roll_mean_{n}" for n in PANEL_ROLLS]
+    lags = [c for c in panel.df.columns if c not in (*sparse.df.columns, *means, *rolls)]
+    coarse = rounded_in_batches(3)
+    columns = panel.frame().select(*sparse.df.columns, *lags, *rolls, *means)
+    return shown(columns.withColumns({c: coarse(F.col(c)) for c in rolls}))
